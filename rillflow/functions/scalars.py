@@ -92,6 +92,11 @@ def elapsed_whole_seconds(start: str, end: str) -> Column:
     return F.expr(f"cast({second_of(end)} - {second_of(start)} as double)")
 
 
+def as_utc(ts: str) -> Column:
+    """The zone-free time as an instant in UTC."""
+    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {EPOCH}, {ts}))")
+
+
 def row_json(columns: list[str]) -> Column:
     """The named columns as one JSON object, NULLs included."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})

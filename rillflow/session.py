@@ -16,6 +16,8 @@ def build_session(app: str = "rillflow", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # sum up each task's part of a busy session before the shuffle
+        .config("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

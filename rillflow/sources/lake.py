@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.context import RunContext
-from rillflow.schemas import BRONZE, GOLD, QUARANTINE, REPORT, SILVER, SILVER_PARTITIONS, table
+from rillflow.schemas import BRONZE, GOLD, METRICS, QUARANTINE, REPORT, SILVER, SILVER_PARTITIONS, table
 from rillflow.sources.tables import CSV_OPTIONS
 
 _FORMAT_OPTIONS = {
@@ -106,6 +106,26 @@ class Lake:
         )
         return self._read(self.path("quarantine"), schema).select("source", *QUARANTINE.names)
 
+    # stream state -------------------------------------------------------------------------
+    def write_seen(self, ids: DataFrame, ctx: RunContext, part_id: int) -> None:
+        path = self.path("stream", "seen_log_ids", etl_run_id=ctx.run_id, part_id=part_id)
+        firsts = ids.where(F.col("log_id").isNotNull()).distinct()
+        firsts.sortWithinPartitions("log_id").write.mode("overwrite").parquet(path)
+
+    def read_seen(self, ctx: RunContext) -> DataFrame:
+        path = self.path("stream", "seen_log_ids", etl_run_id=ctx.run_id)
+        return Lake(self.spark, self.root)._read(path, table("log_id long, part_id long"))
+
+    def write_batch_metrics(self, rows: DataFrame, ctx: RunContext, part_id: int) -> None:
+        path = self.path("stream", "metrics", etl_run_id=ctx.run_id, part_id=part_id)
+        rows.coalesce(1).write.mode("overwrite").parquet(path)
+
+    def read_batch_metrics(self, ctx: RunContext) -> DataFrame:
+        """Counters of all micro-batches of a run, summed up."""
+        path = self.path("stream", "metrics", etl_run_id=ctx.run_id)
+        rows = Lake(self.spark, self.root)._read(path, T.StructType(METRICS.fields + [_PART]))
+        return rows.groupBy("kind", "layer", "name", "detail").agg(F.sum("value").alias("value"))
+
     # silver -------------------------------------------------------------------------------
     def write_silver(self, df: DataFrame, dataset: str, ctx: RunContext) -> dict[str, int]:
         if dataset not in SILVER:
