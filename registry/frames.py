@@ -13,7 +13,7 @@ from rillflow.operators import quality, sessions
 from rillflow.operators.joins import fits_broadcast
 from rillflow.plans import gold, silver
 from rillflow.schemas import AGG, DIM_PRODUCT, DIM_USER, FACT
-from rillflow.session import pin
+from rillflow.session import pin, together
 from rillflow.sources.testtables import RAW_FRAMES
 
 # Fixed run identities, so that results can be compared.
@@ -26,6 +26,12 @@ class Frames:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def ready(self, *names: str) -> None:
+        """Build frames that do not need each other at the same time."""
+        missing = [n for n in names if n not in self.__dict__]
+        if missing:
+            together(*[lambda n=n: getattr(self, n) for n in missing])
+
     def raw(self, source: str) -> DataFrame:
         return RAW_FRAMES[source](self.spark, self.sf_dir)
 
@@ -35,7 +41,7 @@ class Frames:
     def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
-    # dimensions are written once, as a run does before it reads the logs ------------------
+    # clean tables are written once, as a run does, before the next layer reads them --------
     @cached_property
     def users_classified(self) -> DataFrame:
         return quality.classify(self.raw("users"), "users")
@@ -54,6 +60,7 @@ class Frames:
 
     @cached_property
     def fits(self) -> dict[str, bool]:
+        self.ready("users", "products")
         return {
             "users_fit": fits_broadcast(self.users),
             "products_fit": fits_broadcast(self.products),
@@ -62,13 +69,14 @@ class Frames:
     # logs ---------------------------------------------------------------------------------
     @cached_property
     def weblogs_classified(self) -> DataFrame:
+        fits = self.fits
         return quality.classify(
-            self.raw("weblogs"), "weblogs", users=self.users, products=self.products, **self.fits
+            self.raw("weblogs"), "weblogs", users=self.users, products=self.products, **fits
         )
 
     @cached_property
     def weblogs(self) -> DataFrame:
-        return quality.clean(self.weblogs_classified, "weblogs")
+        return pin(quality.clean(self.weblogs_classified, "weblogs"))
 
     @cached_property
     def silver_plain(self) -> DataFrame:
@@ -99,6 +107,8 @@ class Frames:
 
     @cached_property
     def fact(self) -> DataFrame:
+        self.ready("users", "products")
+        self.ready("weblogs", "dim_user", "dim_product")
         return self.fact_of(self.silver_plain)
 
     def agg_of(self, logs: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
@@ -108,11 +118,15 @@ class Frames:
 
     @cached_property
     def agg(self) -> DataFrame:
+        self.ready("users", "products")
+        self.ready("weblogs", "dim_user")
         return self.agg_of(self.silver_plain)
 
     @cached_property
     def broken_fact(self) -> DataFrame:
         """Facts of all raw logs by left joins: repeats and missing keys stay in, for the checks."""
+        self.ready("users", "products")
+        self.ready("dim_user", "dim_product")
         raw = self.raw("weblogs")
         logs = raw.select(
             "row_index",

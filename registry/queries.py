@@ -65,7 +65,7 @@ def weblogs_classified(f: Frames) -> DataFrame:
 
 @query
 def weblogs_clean(f: Frames) -> DataFrame:
-    return f.weblogs
+    return quality.clean(f.weblogs_classified, "weblogs")
 
 
 @query
@@ -543,16 +543,18 @@ def staged_scan_typed(f: Frames) -> DataFrame:
     return project(scan(f.spark, path, pattern="*.csv"), wanted)
 
 
-def _lake(f: Frames) -> tuple[Lake, dict[str, str]]:
-    folder = fresh_folder(f.spark, "lake")
+def whole_run_inputs(spark: SparkSession, sf_dir: str) -> tuple[Lake, dict[str, str]]:
+    """A fresh lake folder and the three sources as CSV."""
+    f = Frames(spark, sf_dir)
+    folder = fresh_folder(spark, "lake")
     paths = {s: _write_csv(f, folder, s) for s in RAW_COLUMNS}
-    return Lake(f.spark, f"{folder}/lake"), paths
+    return Lake(spark, f"{folder}/lake"), paths
 
 
 @query
 def full_run_report(f: Frames) -> DataFrame:
     """A whole run from CSV to Gold; its report without paths and times."""
-    lake, paths = _lake(f)
+    lake, paths = whole_run_inputs(f.spark, f.sf_dir)
     lake.init_gold(RUN_1)
     rows = pipeline.run(lake, paths, RUN_1)
     kept = rows.where(~F.col("section").isin("quarantine_paths", "run", "recommendations"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -23,6 +24,7 @@ from rillflow.plans import gold, report
 from rillflow.plans.checks import run_checks
 from rillflow.plans.silver import enrich, in_session_order, snapshot, to_silver
 from rillflow.schemas import RAW_COLUMNS
+from rillflow.session import together
 from rillflow.sources.lake import Lake
 from rillflow.sources.tables import land
 
@@ -35,25 +37,34 @@ def ingest(
     lake: Lake, ctx: RunContext, raw: dict[str, DataFrame], paths: dict[str, str], rows: Rows
 ) -> None:
     """Classify and write every source; the dimensions first, as the logs refer to them."""
-    fits: dict[str, bool] = {}
-    for source in ("users", "products", "weblogs"):
-        refs = {}
-        if source == "weblogs":
-            refs = {s: lake.read_bronze(s, ctx) for s in ("users", "products")}
-            refs |= {f"{s}_fit": fit for s, fit in fits.items()}
-        # Two outputs from one pass: both writes read the classified rows from disk.
-        judged = classify(raw[source], source, **refs).persist(StorageLevel.DISK_ONLY)
-        try:
-            kept = lake.write_bronze(clean(judged, source), source, ctx)
-            records = quarantine(judged, source, paths[source], ctx)
-            rejected = lake.write_quarantine(
-                records, source, ctx, counts=reason_totals(source)
-            )
-        finally:
-            judged.unpersist()
-        note_source(rows, lake, ctx, source, kept["rows"], rejected)
-        if source != "weblogs":
-            fits[source] = fits_broadcast(lake.read_bronze(source, ctx))
+    together(
+        *[
+            partial(ingest_source, lake, ctx, source, raw[source], paths[source], rows, {})
+            for source in ("users", "products")
+        ]
+    )
+    users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
+    refs = {
+        "users": users,
+        "products": products,
+        "users_fit": fits_broadcast(users),
+        "products_fit": fits_broadcast(products),
+    }
+    ingest_source(lake, ctx, "weblogs", raw["weblogs"], paths["weblogs"], rows, refs)
+
+
+def ingest_source(
+    lake: Lake, ctx: RunContext, source: str, raw: DataFrame, path: str, rows: Rows, refs: dict
+) -> None:
+    # Two outputs from one pass: both writes read the classified rows from disk.
+    judged = classify(raw, source, **refs).persist(StorageLevel.DISK_ONLY)
+    try:
+        kept = lake.write_bronze(clean(judged, source), source, ctx)
+        records = quarantine(judged, source, path, ctx)
+        rejected = lake.write_quarantine(records, source, ctx, counts=reason_totals(source))
+    finally:
+        judged.unpersist()
+    note_source(rows, lake, ctx, source, kept["rows"], rejected)
 
 
 def reason_totals(source: str) -> dict[str, Column]:
@@ -74,15 +85,17 @@ def note_source(rows: Rows, lake: Lake, ctx, source: str, kept: int, rejected: d
 def build_silver(lake: Lake, ctx: RunContext, rows: Rows) -> None:
     users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
     logs = to_silver(lake.read_bronze("weblogs", ctx), ctx)
-    enriched = in_session_order(enrich(logs, users, products))
-    for dataset, df in (
-        ("weblogs_clean", enriched),
-        ("users_clean", snapshot(users, "users_clean", ctx)),
-        ("products_clean", snapshot(products, "products_clean", ctx)),
-    ):
+
+    def write(dataset: str, df: DataFrame) -> None:
         written = lake.write_silver(df, dataset, ctx)["rows"]
         if written:
             rows.append(("loaded", "silver", dataset, None, float(written)))
+
+    together(
+        lambda: write("weblogs_clean", in_session_order(enrich(logs, users, products))),
+        lambda: write("users_clean", snapshot(users, "users_clean", ctx)),
+        lambda: write("products_clean", snapshot(products, "products_clean", ctx)),
+    )
     counts = anomaly_counts(session_metrics(current_logs(lake, ctx))).first().asDict()
     rows += [("anomaly", None, kind, None, float(n)) for kind, n in counts.items()]
 
@@ -98,31 +111,40 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
         "inserted": F.count_if(F.col("_change") == "insert"),
         "updated": F.count_if(F.col("_change") == "update"),
     }
-    for name, build, dataset in (
-        ("dim_user", gold.user_dimension, "users_clean"),
-        ("dim_product", gold.product_dimension, "products_clean"),
-    ):
+
+    def note(name: str, loaded: int) -> None:
+        rows.append(("loaded", "gold", name, None, float(loaded)))
+
+    def dimension(name: str, build, dataset: str) -> None:
         new = build(lake.read_dim(name), lake.read_silver(dataset), ctx)
         n = lake.write_dim(new, name, ctx, counts=changes)
-        rows.append(("loaded", "gold", name, None, float(n["inserted"] + n["updated"])))
+        note(name, n["inserted"] + n["updated"])
 
+    together(
+        partial(dimension, "dim_user", gold.user_dimension, "users_clean"),
+        partial(dimension, "dim_product", gold.product_dimension, "products_clean"),
+    )
     users, products = lake.read_dim("dim_user"), lake.read_dim("dim_product")
     users_fit = fits_broadcast(users.select("user_id", "user_sk"))
     products_fit = fits_broadcast(products.select("product_id", "product_sk"))
     logs = lake.read_silver("weblogs_clean")
 
-    fact = lake.read_gold("fact_user_activity")
-    new = gold.fact_rows(
-        logs, users, products, fact, users_fit=users_fit, products_fit=products_fit
-    )
-    n = lake.append_gold(gold.number_facts(new, fact), "fact_user_activity", sort=["action"])
-    rows.append(("loaded", "gold", "fact_user_activity", None, float(n["rows"])))
+    def facts() -> None:
+        fact = lake.read_gold("fact_user_activity")
+        new = gold.fact_rows(
+            logs, users, products, fact, users_fit=users_fit, products_fit=products_fit
+        )
+        new = gold.number_facts(new, fact)
+        n = lake.append_gold(new, "fact_user_activity", sort=["action"])
+        note("fact_user_activity", n["rows"])
 
-    done = lake.read_gold("agg_session_metrics")
-    new = gold_session_metrics(logs, users, done, users_fit=users_fit)
-    n = lake.append_gold(new, "agg_session_metrics", sort=["session_id"])
-    rows.append(("loaded", "gold", "agg_session_metrics", None, float(n["rows"])))
+    def session_rows() -> None:
+        done = lake.read_gold("agg_session_metrics")
+        new = gold_session_metrics(logs, users, done, users_fit=users_fit)
+        n = lake.append_gold(new, "agg_session_metrics", sort=["session_id"])
+        note("agg_session_metrics", n["rows"])
 
+    together(facts, session_rows)
     today = lake.read_gold("fact_user_activity").where(F.col("etl_run_date") == ctx.date_col())
     lake.replace_gold_day(gold.product_daily_stats(today), "product_daily_stats", ctx)
 
@@ -154,11 +176,17 @@ def run(
     rows: Rows = []
     status, error = "RUNNING", None
     try:
-        raw = {}
-        for source, columns in RAW_COLUMNS.items():
-            staging = lake.path("landing", source, etl_run_id=ctx.run_id)
-            raw[source], n = land(spark, paths[source], columns, fmt=fmt, staging=staging)
-            rows.append(("extracted", None, source, None, float(n)))
+        landed = together(
+            *[
+                partial(
+                    land, spark, paths[source], columns, fmt=fmt,
+                    staging=lake.path("landing", source, etl_run_id=ctx.run_id),
+                )
+                for source, columns in RAW_COLUMNS.items()
+            ]
+        )
+        raw = {source: df for source, (df, _) in zip(RAW_COLUMNS, landed)}
+        rows += [("extracted", None, s, None, float(n)) for s, (_, n) in zip(raw, landed)]
         ingest(lake, ctx, raw, paths, rows)
         users = lake.read_bronze("users", ctx)
         observed = quality_observations(raw["users"], users, raw["products"], raw["weblogs"])

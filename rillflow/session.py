@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -40,10 +43,22 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and cut its lineage there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a table in the shared folder and go on from there.
+
+    This cuts the lineage, survives the loss of executors, and later readers prune columns.
+    """
+    spark = df.sparkSession
+    path = fresh_folder(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def reducers(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def together(*jobs: Callable[[], object]) -> list:
+    """Submit independent Spark jobs at once, so that one fills the executors another leaves idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        return [job.result() for job in running]

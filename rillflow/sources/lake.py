@@ -6,8 +6,8 @@
 ``<root>/gold/<dimension>/version=V`` and ``<root>/gold/<fact or aggregate>/etl_run_date=D``
 
 Every write names the folder of its own partition, so writing a day again replaces that day and
-leaves no stale files.  A dimension gets a new version folder per load; ``gold/_versions`` lists
-the finished ones, and readers take the newest of these.
+leaves no stale files.  A dimension gets a new version folder per load; ``gold/_versions/name=T``
+lists the finished ones, and readers take the newest of these.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ _FORMAT_OPTIONS = {
         "emptyValue": "",
     },
 }
-_VERSIONS = table("name string, version long, etl_run_id string")
+_VERSIONS = table("version long, etl_run_id string")
 _PART = T.StructField("part_id", T.LongType(), True)
 
 
@@ -143,6 +143,9 @@ class Lake:
     # gold ---------------------------------------------------------------------------------
     def init_gold(self, ctx: RunContext) -> None:
         """Empty Gold tables; wipes what is there."""
+        for name in ("dim_user", "dim_product"):
+            none = self.spark.createDataFrame([], _VERSIONS)
+            self._write(none, self.path("gold", "_versions", name=name), "overwrite")
         for name in ("dim_user", "dim_product"):
             self.write_dim(self.spark.createDataFrame([], GOLD[name]), name, ctx)
         for name in ("fact_user_activity", "agg_session_metrics", "product_daily_stats"):
@@ -156,7 +159,7 @@ class Lake:
         )
 
     def newest_version(self, name: str) -> int | None:
-        done = self._read(self.path("gold", "_versions"), _VERSIONS).where(F.col("name") == name)
+        done = self._read(self.path("gold", "_versions", name=name), _VERSIONS)
         return done.agg(F.max("version")).first()[0]
 
     def write_dim(
@@ -165,8 +168,8 @@ class Lake:
         """Write the next version, then list it as finished."""
         version = (self.newest_version(name) or 0) + 1
         out = self._write(df, self.path("gold", name, version=version), "overwrite", counts=counts)
-        entry = self.spark.createDataFrame([(name, version, ctx.run_id)], _VERSIONS)
-        self._write(entry.coalesce(1), self.path("gold", "_versions"), "append")
+        entry = self.spark.createDataFrame([(version, ctx.run_id)], _VERSIONS)
+        self._write(entry.coalesce(1), self.path("gold", "_versions", name=name), "append")
         return out
 
     def read_dim(self, name: str) -> DataFrame:
