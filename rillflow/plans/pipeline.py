@@ -44,11 +44,9 @@ def ingest(
         ]
     )
     users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
+    fits = together(lambda: fits_broadcast(users), lambda: fits_broadcast(products))
     refs = {
-        "users": users,
-        "products": products,
-        "users_fit": fits_broadcast(users),
-        "products_fit": fits_broadcast(products),
+        "users": users, "products": products, "users_fit": fits[0], "products_fit": fits[1],
     }
     ingest_source(lake, ctx, "weblogs", raw["weblogs"], paths["weblogs"], rows, refs)
 
@@ -96,10 +94,19 @@ def build_silver(lake: Lake, ctx: RunContext, rows: Rows) -> None:
         lambda: write("users_clean", snapshot(users, "users_clean", ctx)),
         lambda: write("products_clean", snapshot(products, "products_clean", ctx)),
     )
+
+
+def note_anomalies(lake: Lake, ctx: RunContext, rows: Rows) -> None:
     counts = anomaly_counts(session_metrics(current_logs(lake, ctx))).first().asDict()
     rows += [("anomaly", None, kind, None, float(n)) for kind, n in counts.items()]
 
 
+def note_observations(lake: Lake, ctx: RunContext, raw: dict[str, DataFrame], rows: Rows) -> None:
+    users = lake.read_bronze("users", ctx)
+    observed = quality_observations(raw["users"], users, raw["products"], raw["weblogs"])
+    rows += [("observation", None, r.observation, None, r.rate) for r in observed.collect()]
+
+
 def current_logs(lake: Lake, ctx: RunContext) -> DataFrame:
     mine = (F.col("etl_run_date") == ctx.date_col()) & (F.col("etl_run_id") == ctx.run_id)
     return lake.read_silver("weblogs_clean").where(mine)
@@ -123,10 +130,13 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
     together(
         partial(dimension, "dim_user", gold.user_dimension, "users_clean"),
         partial(dimension, "dim_product", gold.product_dimension, "products_clean"),
+        partial(note_anomalies, lake, ctx, rows),
     )
     users, products = lake.read_dim("dim_user"), lake.read_dim("dim_product")
-    users_fit = fits_broadcast(users.select("user_id", "user_sk"))
-    products_fit = fits_broadcast(products.select("product_id", "product_sk"))
+    users_fit, products_fit = together(
+        lambda: fits_broadcast(users.select("user_id", "user_sk")),
+        lambda: fits_broadcast(products.select("product_id", "product_sk")),
+    )
     logs = lake.read_silver("weblogs_clean")
 
     def facts() -> None:
@@ -145,6 +155,8 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
         note("agg_session_metrics", n["rows"])
 
     together(facts, session_rows)
+
+def refresh_product_days(lake: Lake, ctx: RunContext) -> None:
     today = lake.read_gold("fact_user_activity").where(F.col("etl_run_date") == ctx.date_col())
     lake.replace_gold_day(gold.product_daily_stats(today), "product_daily_stats", ctx)
 
@@ -188,14 +200,12 @@ def run(
         raw = {source: df for source, (df, _) in zip(RAW_COLUMNS, landed)}
         rows += [("extracted", None, s, None, float(n)) for s, (_, n) in zip(raw, landed)]
         ingest(lake, ctx, raw, paths, rows)
-        users = lake.read_bronze("users", ctx)
-        observed = quality_observations(raw["users"], users, raw["products"], raw["weblogs"])
-        rows += [
-            ("observation", None, r.observation, None, r.rate) for r in observed.collect()
-        ]
-        build_silver(lake, ctx, rows)
+        together(
+            partial(build_silver, lake, ctx, rows),
+            partial(note_observations, lake, ctx, raw, rows),
+        )
         build_gold(lake, ctx, rows)
-        validate_gold(lake, rows)
+        together(partial(refresh_product_days, lake, ctx), partial(validate_gold, lake, rows))
         status = "SUCCESS"
     except Exception as exc:
         status, error = "FAILED", str(exc)
@@ -215,8 +225,10 @@ def finish(
             metrics, ctx, source_file=source_file, status=status, error=error,
             first_id=next_key(lake.read_gold("etl_audit_log"), "audit_id"),
         )
-        lake.append_audit(audit)
-        lake.write_report(report.report_rows(metrics, ctx, status, error), ctx)
+        together(
+            lambda: lake.append_audit(audit),
+            lambda: lake.write_report(report.report_rows(metrics, ctx, status, error), ctx),
+        )
         return lake.read_report(ctx)
     except Exception:
         log.exception("writing the audit log or the report failed")

@@ -13,6 +13,7 @@ lists the finished ones, and readers take the newest of these.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from rillflow.context import RunContext
 from rillflow.schemas import BRONZE, GOLD, METRICS, QUARANTINE, REPORT, SILVER, SILVER_PARTITIONS, table
+from rillflow.session import together
 from rillflow.sources.tables import CSV_OPTIONS
 
 _FORMAT_OPTIONS = {
@@ -143,20 +145,18 @@ class Lake:
     # gold ---------------------------------------------------------------------------------
     def init_gold(self, ctx: RunContext) -> None:
         """Empty Gold tables; wipes what is there."""
-        for name in ("dim_user", "dim_product"):
-            none = self.spark.createDataFrame([], _VERSIONS)
-            self._write(none, self.path("gold", "_versions", name=name), "overwrite")
-        for name in ("dim_user", "dim_product"):
-            self.write_dim(self.spark.createDataFrame([], GOLD[name]), name, ctx)
-        for name in ("fact_user_activity", "agg_session_metrics", "product_daily_stats"):
-            self._write(
-                self.spark.createDataFrame([], GOLD[name]).drop("etl_run_date"),
-                self.path("gold", name), "overwrite",
-            )
-        self._write(
-            self.spark.createDataFrame([], GOLD["etl_audit_log"]),
-            self.path("gold", "etl_audit_log"), "overwrite",
-        )
+
+        def reset(name: str) -> None:
+            empty = self.spark.createDataFrame([], GOLD[name])
+            if name.startswith("dim_"):
+                none = self.spark.createDataFrame([], _VERSIONS)
+                self._write(none, self.path("gold", "_versions", name=name), "overwrite")
+                self.write_dim(empty, name, ctx)
+            else:
+                kept = empty if name == "etl_audit_log" else empty.drop("etl_run_date")
+                self._write(kept, self.path("gold", name), "overwrite")
+
+        together(*[partial(reset, name) for name in GOLD])
 
     def newest_version(self, name: str) -> int | None:
         done = self._read(self.path("gold", "_versions", name=name), _VERSIONS)
