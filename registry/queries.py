@@ -14,7 +14,7 @@ from rillflow.plans import bi, checks, gold, pipeline, report, silver
 from rillflow.schemas import BRONZE, DIM_PRODUCT, DIM_USER, RAW_COLUMNS, table
 from rillflow.session import fresh_folder, pin
 from rillflow.sources.lake import Lake
-from rillflow.sources.tables import land, load_by_name, project, scan
+from rillflow.sources.tables import CSV_OPTIONS, land, load_by_name, project, scan
 from rillflow.streaming import ingest as stream_ingest
 from rillflow.streaming import sessions as stream_sessions
 
@@ -511,7 +511,7 @@ def _write_csv(f: Frames, folder: str, source: str) -> str:
     """The raw rows as CSV files in source order."""
     path = f"{folder}/raw/{source}"
     rows = f.raw(source).orderBy("row_index").select(*RAW_COLUMNS[source])
-    rows.write.option("header", True).option("escape", '"').csv(path)
+    rows.write.options(**CSV_OPTIONS).csv(path)
     return path
 
 

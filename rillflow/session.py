@@ -59,6 +59,7 @@ def reducers(spark: SparkSession) -> int:
 
 def together(*jobs: Callable[[], object]) -> list:
     """Submit independent Spark jobs at once, so that one fills the executors another leaves idle."""
+    inherit = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(job)) for job in jobs]
+        running = [pool.submit(inherit(job)) for job in jobs]
         return [job.result() for job in running]

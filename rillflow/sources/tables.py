@@ -13,7 +13,14 @@ from rillflow.operators.joins import lookup
 from rillflow.operators.quality import require_columns
 from rillflow.session import fresh_folder
 
-CSV_OPTIONS = {"header": "true", "escape": '"', "quote": '"'}
+# Quotes are doubled inside quoted cells, and outer blanks belong to the text.
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def scan(
