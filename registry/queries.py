@@ -582,12 +582,12 @@ def stream_weblogs_classified(f: Frames) -> DataFrame:
     for source in ("users", "products"):
         lake.write_bronze(getattr(f, source), source, RUN_1)
     raw = f.raw("weblogs")
-    last = raw.agg(F.max("row_index")).first()[0]
+    n = raw.count()
     for i in range(3):
-        low, high = last * i // 3, last * (i + 1) // 3
-        bounds = (F.col("row_index") > low if i else F.lit(True)) & (F.col("row_index") <= high)
-        raw.where(bounds).write.mode("append").parquet(f"{folder}/arrivals")
-        stream_ingest.run_available(lake, f"{folder}/arrivals", RUN_1, f"{folder}/progress")
+        arrival = raw.where(F.col("row_index").between(n * i // 3, n * (i + 1) // 3 - 1))
+        ordered = arrival.orderBy("row_index").select(*RAW_COLUMNS["weblogs"])
+        ordered.write.mode("append").options(**CSV_OPTIONS).csv(f"{folder}/arrivals/{i}")
+        stream_ingest.run_available(lake, f"{folder}/arrivals/*", RUN_1, f"{folder}/progress")
     kept = lake.read_bronze("weblogs", RUN_1).select(
         "row_index", F.lit(None).cast("string").alias("rejection_reason")
     )

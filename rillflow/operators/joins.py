@@ -99,7 +99,8 @@ def lookup(
     """Join ``big`` to the unique-key table ``small``; ``row_id`` must differ from row to row.
 
     ``count_on`` names a cheaper frame with the same keys to find the hot ones in, such as the
-    scan below ``big``.
+    scan below ``big``.  It must have at least as many rows per key as ``big``; no reducer then
+    gets more than an even share of that frame from one key.
     """
     if small_fits is None:
         small_fits = fits_broadcast(small)

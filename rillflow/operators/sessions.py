@@ -97,13 +97,13 @@ def gold_session_metrics(
     )
     keyed = lookup(
         sums, dim_user.select("user_id", "user_sk"), "user_id", "inner",
-        row_id="_group", small_fits=users_fit,
+        row_id="_group", small_fits=users_fit, count_on=silver,
     ).where(F.col("user_sk").isNotNull())
     if loaded is not None:
         done = loaded.select("session_id").where(F.col("session_id").isNotNull())
         keyed = lookup(
             keyed, done.distinct(), "session_id", "left_anti",
-            row_id="_group", small_fits=fits_broadcast(done),
+            row_id="_group", small_fits=fits_broadcast(done), count_on=silver,
         )
     return keyed.withColumns(
         {

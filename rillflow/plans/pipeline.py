@@ -156,6 +156,13 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
 
     together(facts, session_rows)
 
+def rebuild_sessions(lake: Lake) -> int:
+    """Sum up all Silver logs again; unlike a load this takes late logs of known sessions in."""
+    logs, users = lake.read_silver("weblogs_clean"), lake.read_dim("dim_user")
+    rows = gold_session_metrics(logs, users)
+    return lake.overwrite_gold(rows, "agg_session_metrics", sort=["session_id"])["rows"]
+
+
 def refresh_product_days(lake: Lake, ctx: RunContext) -> None:
     today = lake.read_gold("fact_user_activity").where(F.col("etl_run_date") == ctx.date_col())
     lake.replace_gold_day(gold.product_daily_stats(today), "product_daily_stats", ctx)

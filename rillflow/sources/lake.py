@@ -112,7 +112,8 @@ class Lake:
     def write_seen(self, ids: DataFrame, ctx: RunContext, part_id: int) -> None:
         path = self.path("stream", "seen_log_ids", etl_run_id=ctx.run_id, part_id=part_id)
         firsts = ids.where(F.col("log_id").isNotNull()).distinct()
-        firsts.sortWithinPartitions("log_id").write.mode("overwrite").parquet(path)
+        ranges = firsts.repartitionByRange("log_id").sortWithinPartitions("log_id")
+        ranges.write.mode("overwrite").parquet(path)
 
     def read_seen(self, ctx: RunContext) -> DataFrame:
         path = self.path("stream", "seen_log_ids", etl_run_id=ctx.run_id)
@@ -122,10 +123,12 @@ class Lake:
         path = self.path("stream", "metrics", etl_run_id=ctx.run_id, part_id=part_id)
         rows.coalesce(1).write.mode("overwrite").parquet(path)
 
-    def read_batch_metrics(self, ctx: RunContext) -> DataFrame:
-        """Counters of all micro-batches of a run, summed up."""
+    def read_batch_metrics(self, ctx: RunContext, before: int | None = None) -> DataFrame:
+        """Counters of the micro-batches of a run, or of those before one, summed up."""
         path = self.path("stream", "metrics", etl_run_id=ctx.run_id)
         rows = Lake(self.spark, self.root)._read(path, T.StructType(METRICS.fields + [_PART]))
+        if before is not None:
+            rows = rows.where(F.col("part_id") < before)
         return rows.groupBy("kind", "layer", "name", "detail").agg(F.sum("value").alias("value"))
 
     # silver -------------------------------------------------------------------------------
@@ -183,6 +186,11 @@ class Lake:
         df = df.select(*GOLD[name].names).sortWithinPartitions("etl_run_date", *sort)
         return self._write(df, self.path("gold", name), "append", by=["etl_run_date"])
 
+    def overwrite_gold(self, df: DataFrame, name: str, *, sort: list[str]) -> dict[str, int]:
+        """Replace all days; ``df`` must not read this table."""
+        df = df.select(*GOLD[name].names).sortWithinPartitions("etl_run_date", *sort)
+        return self._write(df, self.path("gold", name), "overwrite", by=["etl_run_date"])
+
     def replace_gold_day(self, df: DataFrame, name: str, ctx: RunContext) -> dict[str, int]:
         day = self.path("gold", name, etl_run_date=ctx.run_date)
         return self._write(df.drop("etl_run_date"), day, "overwrite")

@@ -78,29 +78,44 @@ def land(
     source = scan(spark, path, fmt=fmt)
     require_columns(source, columns)
     staged = staging or fresh_folder(spark, "landing")
-    text = [F.col(c).cast("string").alias(c) for c in columns]
-    seen = Observation()
-    source.select(
-        *text,
+    n = stage(with_position(source, columns), staged)
+    return number_rows(spark.read.parquet(staged), columns), n
+
+
+def with_position(source: DataFrame, columns: list[str]) -> DataFrame:
+    """Text columns of a file scan with the file and block each row comes from."""
+    return source.select(
+        *[F.col(c).cast("string").alias(c) for c in columns],
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_at"),
-    ).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(staged)
-    rows = spark.read.parquet(staged)
+    )
+
+
+def stage(rows: DataFrame, path: str) -> int:
+    """Write rows with their place inside the task, which is fixed from then on; returns their number."""
+    seen = Observation()
+    rows = rows.withColumn("_at", F.monotonically_increasing_id())
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").parquet(path)
+    return int(seen.get["rows"])
+
 
+def number_rows(rows: DataFrame, columns: list[str], start: int = 0) -> DataFrame:
+    """Staged rows with ``row_index`` from ``start`` on, blocks in order of path and offset."""
     blocks = rows.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_base")
     )
+    # One row per file block, so this window stays small.
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(
         _block_key().alias("_key"),
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_base")).alias("_shift"),
+        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_base") + start).alias("_shift"),
     )
     keyed = rows.withColumn("_key", _block_key())
     numbered = lookup(keyed, blocks, "_key", row_id="_at").withColumn(
         "row_index", F.col("_at") + F.col("_shift")
     )
-    return blank_na(numbered.select("row_index", *columns)), int(seen.get["rows"])
+    return blank_na(numbered.select("row_index", *columns))
 
 
 def _block_key():

@@ -1,9 +1,10 @@
 """Log files as a stream, with the results of a batch load.
 
-The clean users and products are in Bronze before the stream starts.  Each micro-batch is
-classified against them and against the ids seen before, and writes three folders named after
-the batch: kept rows, rejected rows and its new log ids.  A batch that runs again after a failure
-overwrites its own folders and ignores the ids it may have noted itself.
+The clean users and products are in Bronze before the stream starts.  Each micro-batch lands as a
+table, takes row positions that go on from the batches before, and is classified against the
+dimensions and the log ids seen before.  It then writes kept rows, rejected rows, its log ids and
+its counters, each to a folder of its own.  A batch that runs again after a failure overwrites its
+folders and ignores what it may have noted itself.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.context import RunContext
@@ -19,12 +19,9 @@ from rillflow.functions.scalars import to_id
 from rillflow.operators.joins import fits_broadcast
 from rillflow.operators.quality import classify, clean, quarantine
 from rillflow.plans.pipeline import reason_totals
-from rillflow.schemas import METRICS, RAW
+from rillflow.schemas import METRICS, RAW, RAW_COLUMNS
 from rillflow.sources.lake import Lake
-from rillflow.sources.tables import CSV_OPTIONS
-
-ARRIVALS = T.StructType([T.StructField("row_index", T.LongType(), True)] + RAW["weblogs"].fields)
-
+from rillflow.sources.tables import CSV_OPTIONS, number_rows, stage, with_position
 
 def seen_before(lake: Lake, ctx: RunContext, batch: DataFrame, batch_id: int) -> DataFrame | None:
     """Log ids of earlier batches that lie in this batch's id range.
@@ -39,11 +36,21 @@ def seen_before(lake: Lake, ctx: RunContext, batch: DataFrame, batch_id: int) ->
     return known.where(F.col("log_id").between(ids[0], ids[1])).select("log_id")
 
 
+def rows_before(lake: Lake, ctx: RunContext, batch_id: int) -> int:
+    earlier = lake.read_batch_metrics(ctx, before=batch_id).where("kind = 'extracted'")
+    return int(earlier.agg(F.sum("value")).first()[0] or 0)
+
+
 def process_batch(
     lake: Lake, ctx: RunContext, arrived: DataFrame, batch_id: int, source_file: str
 ) -> None:
+    """``arrived`` has the raw text columns with ``_file`` and ``_block``."""
     users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
-    arrived = arrived.persist(StorageLevel.DISK_ONLY)
+    landing = lake.path("stream", "landing", etl_run_id=ctx.run_id, part_id=batch_id)
+    n = stage(arrived, landing)
+    arrived = number_rows(
+        lake.spark.read.parquet(landing), RAW_COLUMNS["weblogs"], rows_before(lake, ctx, batch_id)
+    )
     judged = None
     try:
         typed = arrived.select(to_id(F.col("log_id")).alias("log_id"))
@@ -58,7 +65,7 @@ def process_batch(
             records, "weblogs", ctx, part_id=batch_id, counts=reason_totals("weblogs")
         )
         lake.write_seen(judged.select("log_id"), ctx, batch_id)
-        counters = [("extracted", None, "weblogs", None, float(kept["rows"] + lost["rows"]))]
+        counters = [("extracted", None, "weblogs", None, float(n))]
         counters += [("loaded", "bronze", "weblogs", None, float(kept["rows"]))]
         counters += [
             ("quarantined" if k == "rows" else "reason", None, "weblogs",
@@ -67,23 +74,22 @@ def process_batch(
         ]
         lake.write_batch_metrics(lake.spark.createDataFrame(counters, METRICS), ctx, batch_id)
     finally:
-        arrived.unpersist()
         if judged is not None:
             judged.unpersist()
 
 
 def start(
-    lake: Lake, folder: str, ctx: RunContext, progress: str, *, fmt: str = "parquet",
+    lake: Lake, folder: str, ctx: RunContext, progress: str, *, fmt: str = "csv",
     files_per_batch: int | None = None,
 ) -> StreamingQuery:
     """Start the stream over ``folder`` with the files that are there; ``progress`` is its checkpoint."""
-    reader = lake.spark.readStream.schema(ARRIVALS).format(fmt)
+    reader = lake.spark.readStream.schema(RAW["weblogs"]).format(fmt)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return (
-        reader.load(folder)
+        with_position(reader.load(folder), RAW_COLUMNS["weblogs"])
         .writeStream.foreachBatch(
             lambda batch, batch_id: process_batch(lake, ctx, batch, batch_id, folder)
         )
