@@ -25,17 +25,25 @@ from rillflow.session import reducers
 BROADCAST_BYTES = 64 << 20
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Bytes of the frame: 8 per cell plus the exact length of all text."""
-    per_row = F.lit(8 * len(df.columns))
-    for field in df.schema.fields:
+def total_bytes(schema: T.StructType) -> Column:
+    """Aggregate: 8 bytes per cell plus the exact length of all text."""
+    per_row = F.lit(8 * len(schema.fields))
+    for field in schema.fields:
         if isinstance(field.dataType, T.StringType):
             per_row = per_row + F.coalesce(F.octet_length(field.name), F.lit(0))
-    return int(df.agg(F.sum(per_row.cast("bigint"))).first()[0] or 0)
+    return F.sum(per_row.cast("bigint"))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return int(df.agg(total_bytes(df.schema)).first()[0] or 0)
+
+
+def within_limit(size: int, limit: int | None = None) -> bool:
+    return size <= (BROADCAST_BYTES if limit is None else limit)
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    return measured_bytes(df) <= (BROADCAST_BYTES if limit is None else limit)
+    return within_limit(measured_bytes(df), limit)
 
 
 def hot_keys(df: DataFrame, key: str, parts: int) -> list[tuple[object, int]]:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.context import RunContext
-from rillflow.operators.joins import fits_broadcast
+from rillflow.operators.joins import total_bytes, within_limit
 from rillflow.operators.quality import (
     REASONS,
     classify,
@@ -23,7 +23,7 @@ from rillflow.operators.upsert import next_key
 from rillflow.plans import gold, report
 from rillflow.plans.checks import run_checks
 from rillflow.plans.silver import enrich, in_session_order, snapshot, to_silver
-from rillflow.schemas import RAW_COLUMNS
+from rillflow.schemas import BRONZE, RAW_COLUMNS
 from rillflow.session import together
 from rillflow.sources.lake import Lake
 from rillflow.sources.tables import land
@@ -35,34 +35,50 @@ Rows = list[tuple]
 
 def ingest(
     lake: Lake, ctx: RunContext, raw: dict[str, DataFrame], paths: dict[str, str], rows: Rows
-) -> None:
-    """Classify and write every source; the dimensions first, as the logs refer to them."""
-    together(
+) -> dict[str, bool]:
+    """Classify and write every source; the dimensions first, as the logs refer to them.
+
+    Returns which of the dimensions are small enough to be broadcast whole.
+    """
+    sizes = together(
         *[
             partial(ingest_source, lake, ctx, source, raw[source], paths[source], rows, {})
             for source in ("users", "products")
         ]
     )
-    users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
-    fits = together(lambda: fits_broadcast(users), lambda: fits_broadcast(products))
     refs = {
-        "users": users, "products": products, "users_fit": fits[0], "products_fit": fits[1],
+        "users": lake.read_bronze("users", ctx),
+        "products": lake.read_bronze("products", ctx),
+        "users_fit": pairs_fit(sizes[0]["rows"]),
+        "products_fit": pairs_fit(sizes[1]["rows"]),
     }
     ingest_source(lake, ctx, "weblogs", raw["weblogs"], paths["weblogs"], rows, refs)
+    return {
+        "users_fit": within_limit(sizes[0]["bytes"]),
+        "products_fit": within_limit(sizes[1]["bytes"]),
+    }
+
+
+def pairs_fit(rows: int) -> bool:
+    """Whether this many ids, each with one more number, may be broadcast."""
+    return within_limit(16 * rows)
 
 
 def ingest_source(
     lake: Lake, ctx: RunContext, source: str, raw: DataFrame, path: str, rows: Rows, refs: dict
-) -> None:
+) -> dict[str, int]:
+    """Write one source and return the rows and bytes kept."""
     # Two outputs from one pass: both writes read the classified rows from disk.
     judged = classify(raw, source, **refs).persist(StorageLevel.DISK_ONLY)
     try:
-        kept = lake.write_bronze(clean(judged, source), source, ctx)
+        size = {"bytes": total_bytes(BRONZE[source])}
+        kept = lake.write_bronze(clean(judged, source), source, ctx, counts=size)
         records = quarantine(judged, source, path, ctx)
         rejected = lake.write_quarantine(records, source, ctx, counts=reason_totals(source))
     finally:
         judged.unpersist()
     note_source(rows, lake, ctx, source, kept["rows"], rejected)
+    return kept
 
 
 def reason_totals(source: str) -> dict[str, Column]:
@@ -80,7 +96,7 @@ def note_source(rows: Rows, lake: Lake, ctx, source: str, kept: int, rejected: d
             rows.append(("reason", None, source, reason, float(rejected[reason])))
 
 
-def build_silver(lake: Lake, ctx: RunContext, rows: Rows) -> None:
+def build_silver(lake: Lake, ctx: RunContext, rows: Rows, **fits: bool) -> None:
     users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
     logs = to_silver(lake.read_bronze("weblogs", ctx), ctx)
 
@@ -90,7 +106,7 @@ def build_silver(lake: Lake, ctx: RunContext, rows: Rows) -> None:
             rows.append(("loaded", "silver", dataset, None, float(written)))
 
     together(
-        lambda: write("weblogs_clean", in_session_order(enrich(logs, users, products))),
+        lambda: write("weblogs_clean", in_session_order(enrich(logs, users, products, **fits))),
         lambda: write("users_clean", snapshot(users, "users_clean", ctx)),
         lambda: write("products_clean", snapshot(products, "products_clean", ctx)),
     )
@@ -122,21 +138,19 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
     def note(name: str, loaded: int) -> None:
         rows.append(("loaded", "gold", name, None, float(loaded)))
 
-    def dimension(name: str, build, dataset: str) -> None:
+    def dimension(name: str, build, dataset: str) -> int:
         new = build(lake.read_dim(name), lake.read_silver(dataset), ctx)
         n = lake.write_dim(new, name, ctx, counts=changes)
         note(name, n["inserted"] + n["updated"])
+        return n["rows"]
 
-    together(
+    n_users, n_products, _ = together(
         partial(dimension, "dim_user", gold.user_dimension, "users_clean"),
         partial(dimension, "dim_product", gold.product_dimension, "products_clean"),
         partial(note_anomalies, lake, ctx, rows),
     )
     users, products = lake.read_dim("dim_user"), lake.read_dim("dim_product")
-    users_fit, products_fit = together(
-        lambda: fits_broadcast(users.select("user_id", "user_sk")),
-        lambda: fits_broadcast(products.select("product_id", "product_sk")),
-    )
+    users_fit, products_fit = pairs_fit(n_users), pairs_fit(n_products)
     logs = lake.read_silver("weblogs_clean")
 
     def facts() -> None:
@@ -206,9 +220,9 @@ def run(
         )
         raw = {source: df for source, (df, _) in zip(RAW_COLUMNS, landed)}
         rows += [("extracted", None, s, None, float(n)) for s, (_, n) in zip(raw, landed)]
-        ingest(lake, ctx, raw, paths, rows)
+        fits = ingest(lake, ctx, raw, paths, rows)
         together(
-            partial(build_silver, lake, ctx, rows),
+            partial(build_silver, lake, ctx, rows, **fits),
             partial(note_observations, lake, ctx, raw, rows),
         )
         build_gold(lake, ctx, rows)
