@@ -74,7 +74,9 @@ def spread(
     slice_of_null = F.when(F.col(key).isNull(), F.pmod(lane, F.lit(parts)))
     if not hot:
         big = big.withColumn("_slice", F.coalesce(slice_of_null, F.lit(0)).cast("int"))
-        return big, small.withColumn("_slice", F.lit(0))
+        # Always 0, but not a literal: a literal would be folded out of the join keys, and with it
+        # the spreading of NULL keys.
+        return big, small.withColumn("_slice", F.pmod(F.xxhash64(key), F.lit(1)).cast("int"))
     schema = T.StructType(
         [T.StructField(key, big.schema[key].dataType), T.StructField("_slices", T.IntegerType())]
     )

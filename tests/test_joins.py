@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +20,12 @@ def small(spark):
     )
 
 
+def shuffle_keys(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", plan)
+    return [re.findall(r"(\w+)#", keys) for keys in found]
+
+
 def result(df):
     return sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
 
@@ -46,8 +54,20 @@ def test_hot_and_null_rows_spread_evenly(big, small):
 
 def test_all_unique_keys_need_no_hot_table(spark, small):
     even = spark.range(1000).select(F.col("id").alias("row_index"), F.col("id").alias("k"))
-    left, _ = joins.spread(even, small, "k", "row_index", 8)
-    assert {r["_slice"] for r in left.collect()} == {0}
+    left, right = joins.spread(even, small, "k", "row_index", 8)
+    assert {r["_slice"] for r in left.collect()} == {r["_slice"] for r in right.collect()} == {0}
+
+
+def test_null_keys_spread_without_a_hot_key(spark, small, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    key = F.expr("CASE WHEN id % 2 = 0 THEN id END")
+    df = spark.range(1000).select(F.col("id").alias("row_index"), key.alias("k"))
+    try:
+        for how in ("left", "left_anti"):
+            assert shuffle_keys(joins.lookup(df, small, "k", how)) == [["k", "_slice"]] * 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_size_is_measured_with_its_text(spark):
@@ -62,8 +82,7 @@ def test_too_large_a_side_is_not_broadcast(big, small, monkeypatch, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         df = joins.lookup(big, small, "k")
-        plan = df._jdf.queryExecution().toString()
-        assert "_slice" in plan and "SortMergeJoin" in plan
+        assert shuffle_keys(df) == [["k", "_slice"]] * 2
         assert result(df) == result(big.join(small, "k", "left"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
