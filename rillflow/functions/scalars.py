@@ -16,10 +16,14 @@ NA_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Accepted formats. (?U) gives \s and \d their Unicode meaning.
+# Accepted formats and the blanks around words. (?U) gives \s and \d their Unicode
+# meaning.
 EMAIL_PATTERN = r"(?U)^[^@\s]+@[^@\s]+\.[^@\s]+$"
 SESSION_PATTERN = r"(?U)^sess_\d+$"
-OUTER_BLANKS = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 ISO_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?$"
@@ -70,7 +74,7 @@ def valid_session(text: Column) -> Column:
 
 def known_action(text: Column) -> Column:
     """Lower-cased action without outer blanks, NULL when it is not an accepted one."""
-    plain = F.lower(F.regexp_replace(text, OUTER_BLANKS, ""))
+    plain = F.lower(F.btrim(text, F.lit(BLANKS)))
     return F.when(plain.isin(ACTIONS), plain)
 
 

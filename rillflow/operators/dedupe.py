@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.operators.joins import fits_broadcast, lookup
+from rillflow.operators.joins import fits_broadcast, lookup, most_frequent, slices
+from rillflow.session import pin, reducers
 
 
 def flag_repeats(
@@ -18,24 +19,31 @@ def flag_repeats(
 ) -> DataFrame:
     """Add ``flag``: the key is not NULL and an earlier row, or ``seen``, has it already.
 
-    The first position per key is a map-side combined minimum, and it is joined back on the
-    position, which no two rows share.  So no task ever holds all copies of one key.
+    Only the keys that do repeat are looked up, with their first position.  Counting them is
+    combined on the map side; the result is written once, so that its size and its hot keys are
+    known before the full rows move.  If it is small the rows do not move at all, and a key with
+    very many copies is cut into slices: no task ever holds all copies of one key.
     """
-    firsts = (
+    repeated = pin(
         df.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(pos).alias(pos))
-        .select(pos, F.lit(True).alias("_first"))
+        .agg(F.min(pos).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .where("_n > 1")
     )
-    marked = df.join(firsts, pos, "left")
-    repeat = F.col("_first").isNull()
+    firsts = repeated.select(key, "_first")
+    fits, hot = fits_broadcast(firsts), None
+    if not fits:
+        parts, total = reducers(df.sparkSession), df.where(F.col(key).isNotNull()).count()
+        hot = slices(most_frequent(repeated.select(key, "_n"), parts), total, parts)
+    marked = lookup(df, firsts, key, row_id=pos, small_fits=fits, hot=hot)
+    repeat = F.coalesce(F.col(pos) > F.col("_first"), F.lit(False))
     if seen is not None:
         known = seen.select(key).where(F.col(key).isNotNull())
         fits = fits_broadcast(known)
         known = known.distinct().withColumn("_seen", F.lit(True))
         marked = lookup(marked, known, key, row_id=pos, small_fits=fits, count_on=df)
         repeat = repeat | F.col("_seen").isNotNull()
-    return marked.select(*df.columns, (F.col(key).isNotNull() & repeat).alias(flag))
+    return marked.select(*df.columns, repeat.alias(flag))
 
 
 def keep_first(df: DataFrame, keys: list[str], *, pos: str = "row_index") -> DataFrame:

@@ -46,7 +46,10 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     return within_limit(measured_bytes(df), limit)
 
 
-def hot_keys(df: DataFrame, key: str, parts: int) -> list[tuple[object, int]]:
+Hot = list[tuple[object, int]]
+
+
+def hot_keys(df: DataFrame, key: str, parts: int) -> Hot:
     """``(key, slices)`` of the keys that hold more than 1/parts of the non-null rows.
 
     Fewer than ``parts`` keys can, so the ``parts`` most frequent ones include them all.  One
@@ -54,22 +57,23 @@ def hot_keys(df: DataFrame, key: str, parts: int) -> list[tuple[object, int]]:
     """
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     seen = Observation()
-    top = counts.observe(seen, F.sum("_n").alias("total")).orderBy(F.desc("_n")).limit(parts)
-    rows = top.collect()
-    total = seen.get["total"] or 0
-    return [(r[key], math.ceil(r["_n"] * parts / total)) for r in rows if r["_n"] * parts > total]
+    top = most_frequent(counts.observe(seen, F.sum("_n").alias("total")), parts)
+    return slices(top, seen.get["total"] or 0, parts)
+
+
+def most_frequent(counts: DataFrame, parts: int) -> Hot:
+    """The ``parts`` largest counts of a ``(key, _n)`` frame."""
+    return [tuple(r) for r in counts.orderBy(F.desc("_n")).limit(parts).collect()]
+
+
+def slices(top: Hot, total: int, parts: int) -> Hot:
+    return [(key, math.ceil(n * parts / total)) for key, n in top if n * parts > total]
 
 
 def spread(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    row_id: str,
-    parts: int,
-    count_on: DataFrame | None = None,
+    big: DataFrame, small: DataFrame, key: str, row_id: str, parts: int, hot: Hot
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_slice`` added, ready for an equi-join on ``(key, _slice)``."""
-    hot = hot_keys(big if count_on is None else count_on, key, parts)
     lane = F.xxhash64(row_id)
     slice_of_null = F.when(F.col(key).isNull(), F.pmod(lane, F.lit(parts)))
     if not hot:
@@ -105,18 +109,22 @@ def lookup(
     row_id: str = "row_index",
     small_fits: bool | None = None,
     count_on: DataFrame | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Join ``big`` to the unique-key table ``small``; ``row_id`` must differ from row to row.
 
-    ``count_on`` names a cheaper frame with the same keys to find the hot ones in, such as the
-    scan below ``big``.  It must have at least as many rows per key as ``big``; no reducer then
-    gets more than an even share of that frame from one key.
+    ``hot`` gives the hot keys where they are known.  Else they are counted on ``count_on``, a
+    cheaper frame with at least as many rows per key, such as the scan below ``big``; no reducer
+    then gets more than an even share of that frame from one key.
     """
     if small_fits is None:
         small_fits = fits_broadcast(small)
     if small_fits:
         return big.join(F.broadcast(small), key, how)
-    big, small = spread(big, small, key, row_id, reducers(big.sparkSession), count_on)
+    parts = reducers(big.sparkSession)
+    if hot is None:
+        hot = hot_keys(big if count_on is None else count_on, key, parts)
+    big, small = spread(big, small, key, row_id, parts, hot)
     return big.join(small, [key, "_slice"], how).drop("_slice")
 
 

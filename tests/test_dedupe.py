@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from rillflow.operators import joins
 from rillflow.operators.dedupe import flag_repeats, keep_first, keep_latest
 
 
@@ -30,9 +31,20 @@ def test_repeats_do_not_depend_on_partitions(spark):
         assert flags(flag_repeats(mixed, "k", "again")) == want
 
 
-def test_repeats_use_no_window_over_the_key(spark):
-    plan = flag_repeats(frame(spark, [1, 1]), "k", "again")._jdf.queryExecution().toString()
-    assert "Window" not in plan and "partial_min" in plan
+def test_repeats_with_a_hot_key_and_no_broadcast(spark, monkeypatch):
+    key = F.expr("CASE WHEN id % 3 = 0 THEN 7 WHEN id % 3 = 1 THEN NULL ELSE id % 500 END")
+    df = spark.range(3000).select(F.col("id").alias("row_index"), key.alias("k"))
+    want = flags(flag_repeats(df, "k", "again"))
+    firsts = {}
+    for row in df.orderBy("row_index").collect():
+        firsts.setdefault(row.k, row.row_index)
+    rows = df.orderBy("row_index").collect()
+    assert want == [r.k is not None and firsts[r.k] < r.row_index for r in rows]
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10)
+    marked = flag_repeats(df, "k", "again")
+    assert flags(marked) == want
+    plan = marked._jdf.queryExecution().toString()
+    assert "Window" not in plan and "_slices" in plan
 
 
 def test_keep_first_takes_null_as_one_key(spark):

@@ -43,7 +43,7 @@ def test_only_the_hot_key_is_sliced(big):
 
 
 def test_hot_and_null_rows_spread_evenly(big, small):
-    left, right = joins.spread(big, small, "k", "row_index", 8)
+    left, right = joins.spread(big, small, "k", "row_index", 8, joins.hot_keys(big, "k", 8))
     hot = left.where("k = 1").groupBy("_slice").count().collect()
     lost = left.where("k IS NULL").groupBy("_slice").count().collect()
     assert len(hot) == 4 and max(r["count"] for r in hot) < 400
@@ -54,7 +54,7 @@ def test_hot_and_null_rows_spread_evenly(big, small):
 
 def test_all_unique_keys_need_no_hot_table(spark, small):
     even = spark.range(1000).select(F.col("id").alias("row_index"), F.col("id").alias("k"))
-    left, right = joins.spread(even, small, "k", "row_index", 8)
+    left, right = joins.spread(even, small, "k", "row_index", 8, joins.hot_keys(even, "k", 8))
     assert {r["_slice"] for r in left.collect()} == {r["_slice"] for r in right.collect()} == {0}
 
 
