@@ -128,8 +128,14 @@ def current_logs(lake: Lake, ctx: RunContext) -> DataFrame:
     return lake.read_silver("weblogs_clean").where(mine)
 
 
-def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
-    """Dimensions, then facts and sessions, which need the surrogate keys."""
+def build_gold(lake: Lake, ctx: RunContext, rows: Rows, scope: str = "all") -> None:
+    """Dimensions, then facts and sessions, which need the surrogate keys.
+
+    ``scope="all"`` reads the Silver files of all runs, so it also catches up on runs that never
+    got here; ``scope="run"`` reads this run's partitions alone.
+    """
+    if scope not in ("all", "run"):
+        raise ValueError(f"Unknown scope: {scope!r}")
     changes = {
         "inserted": F.count_if(F.col("_change") == "insert"),
         "updated": F.count_if(F.col("_change") == "update"),
@@ -139,7 +145,10 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
         rows.append(("loaded", "gold", name, None, float(loaded)))
 
     def dimension(name: str, build, dataset: str) -> int:
-        new = build(lake.read_dim(name), lake.read_silver(dataset), ctx)
+        source = lake.read_silver(dataset)
+        if scope == "run":
+            source = source.where(F.col("etl_run_date") == ctx.date_col())
+        new = build(lake.read_dim(name), source, ctx)
         n = lake.write_dim(new, name, ctx, counts=changes)
         note(name, n["inserted"] + n["updated"])
         return n["rows"]
@@ -151,7 +160,7 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows) -> None:
     )
     users, products = lake.read_dim("dim_user"), lake.read_dim("dim_product")
     users_fit, products_fit = pairs_fit(n_users), pairs_fit(n_products)
-    logs = lake.read_silver("weblogs_clean")
+    logs = current_logs(lake, ctx) if scope == "run" else lake.read_silver("weblogs_clean")
 
     def facts() -> None:
         fact = lake.read_gold("fact_user_activity")
@@ -198,7 +207,12 @@ def validate_gold(lake: Lake, rows: Rows) -> None:
 
 
 def run(
-    lake: Lake, paths: dict[str, str], ctx: RunContext | None = None, *, fmt: str = "csv"
+    lake: Lake,
+    paths: dict[str, str],
+    ctx: RunContext | None = None,
+    *,
+    fmt: str = "csv",
+    scope: str = "all",
 ) -> DataFrame:
     """Run everything and return the report rows; ``paths`` maps each source to its files.
 
@@ -225,7 +239,7 @@ def run(
             partial(build_silver, lake, ctx, rows, **fits),
             partial(note_observations, lake, ctx, raw, rows),
         )
-        build_gold(lake, ctx, rows)
+        build_gold(lake, ctx, rows, scope)
         together(partial(refresh_product_days, lake, ctx), partial(validate_gold, lake, rows))
         status = "SUCCESS"
     except Exception as exc:

@@ -30,7 +30,7 @@ def build_session(app: str = "rillflow", **conf: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
         named = tempfile.mkdtemp(prefix="rillflow-")
     if sc.getCheckpointDir() is None:

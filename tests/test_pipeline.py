@@ -111,7 +111,7 @@ def test_large_side_joins_give_the_same_lake(loaded, sources, spark, tmp_path, m
     lake, ctx, _ = loaded
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     other = Lake(spark, str(tmp_path / "lake"))
-    pipeline.run(other, sources, ctx)
+    pipeline.run(other, sources, ctx, scope="run")
     for read in (
         lambda x: x.read_bronze("weblogs", ctx),
         lambda x: x.read_silver("weblogs_clean").where("etl_run_id = 'run-a'"),
@@ -122,6 +122,15 @@ def test_large_side_joins_give_the_same_lake(loaded, sources, spark, tmp_path, m
         assert read(other).exceptAll(read(lake)).isEmpty()
 
 
+def test_scope_of_one_run_reads_its_partition_only(loaded):
+    lake, ctx, _ = loaded
+    plan = pipeline.current_logs(lake, ctx)._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :]
+    assert "etl_run_date" in filters and "etl_run_id" in filters
+    with pytest.raises(ValueError, match="Unknown scope"):
+        pipeline.build_gold(lake, ctx, [], "bogus")
+
+
 def test_failure_is_recorded_and_raised(spark, sources, tmp_path, ctx):
     lake = Lake(spark, str(tmp_path / "lake"))
     with pytest.raises(Exception):
