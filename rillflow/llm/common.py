@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +22,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package's source to the executors, once per application, as --py-files would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_rillflow_shipped", False):
+        return
+    root = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp()) / "rillflow_code.zip"  # the driver serves it from here
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._rillflow_shipped = True
+
+
+def map_pandas(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInPandas(function, schema)
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, a null one as the empty one."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import chat_format, license_scan, quality_rules
+from rillflow.llm import chat_format, license_scan, mixing, quality_rules, token_files
 from rillflow.llm.common import table
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Writes the token files of all documents and sums them up from the files."""
+    docs = table(spark, sf_dir, "documents")
+    model = public_tokenizers.path("byte_bpe_50k.json")
+    read = token_files.write_and_read(docs, model, end_id=2, with_ids=False)
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formats all conversations and one that imitates the template, and reads them back."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -53,6 +66,8 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_token_files,
+        op4_mixing,
         op6_chat_format,
         op7_license_scan,
         op8_quality_rules,
