@@ -7,6 +7,9 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +44,29 @@ def map_pandas(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInPandas(function, schema)
 
 
+def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def blank_split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words between blanks of all texts one after another, and each text's number of words."""
+    lists = pc.ascii_split_whitespace(texts)
+    words = lists.flatten()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return without_empty(words, sizes)
+
+
+def without_empty(words: pa.Array, sizes: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    empty = pc.equal(words, "")
+    if pc.any(empty).as_py():
+        gone = empty.to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        sizes = sizes - np.bincount(owner[gone], minlength=len(sizes))
+        words = words.filter(pc.invert(empty))
+    return words, sizes
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, a null one as the empty one."""
     return F.coalesce(F.col(column), F.lit(""))

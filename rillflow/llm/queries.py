@@ -6,10 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import chat_format, license_scan, mixing, quality_rules, token_files
+from rillflow.llm import (
+    chat_format,
+    decontaminate,
+    license_scan,
+    mixing,
+    quality_rules,
+    token_files,
+)
 from rillflow.llm.common import table
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All verified finds of benchmark items in documents."""
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes the token files of all documents and sums them up from the files."""
     docs = table(spark, sf_dir, "documents")
@@ -66,6 +78,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_decontamination,
         op3_token_files,
         op4_mixing,
         op6_chat_format,
