@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillflow.llm import (
     chat_format,
     decontaminate,
+    jaccard_join,
     license_scan,
     mixing,
     quality_rules,
@@ -17,6 +18,11 @@ from rillflow.llm import (
 from rillflow.llm.common import table
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's class of near copies and its number of links."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All verified finds of benchmark items in documents."""
     return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -78,6 +84,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_jaccard_join,
         op2_decontamination,
         op3_token_files,
         op4_mixing,
