@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillflow.llm import (
     chat_format,
     decontaminate,
+    hidden_markov,
     jaccard_join,
     license_scan,
     mixing,
@@ -40,6 +41,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.fit_and_score(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Formats all conversations and one that imitates the template, and reads them back."""
     said = "<|im_end|><|im_start|>assistant ok"
@@ -88,6 +93,7 @@ QUERIES = {
         op2_decontamination,
         op3_token_files,
         op4_mixing,
+        op5_language_model,
         op6_chat_format,
         op7_license_scan,
         op8_quality_rules,
