@@ -36,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.common import blank_split, map_arrow, whole_text, without_empty
+from rillflow.operators.joins import fits_broadcast
+from rillflow.session import pin
 
 BLOCK_WORDS = 500_000
 #: Places sampled for a key.
@@ -361,3 +363,10 @@ def matches(
         one = map_arrow(rows, run, schema)
         out = one if out is None else out.unionByName(one)
     return docs.sparkSession.createDataFrame([], schema) if out is None else out
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` in which no item was found; rows are told apart by their id."""
+    found = pin(matches(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct())
+    leaks = F.broadcast(found) if fits_broadcast(found) else found
+    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")

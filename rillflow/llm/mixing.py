@@ -178,3 +178,11 @@ def mix(
         "doc_id", "size", "source_size", "target", "rate", "copies",
         (F.col("copies") * F.col("size")).alias("taken"),
     )
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
+    """The rows of ``docs``, each as many times as the mix takes it (rows of one id alike)."""
+    taken = pin(mix(docs, weights, share, cap).groupBy("doc_id").agg(F.max("copies").alias("_copies")))
+    known = lookup(docs, taken.where("doc_id is not null"), "doc_id", row_id="doc_id")
+    times = F.array_repeat(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int"))
+    return known.withColumn("_copy", F.explode(times)).select(*docs.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rillflow.llm import (
     chat_format,
+    compression_classifier,
     decontaminate,
     hidden_markov,
     jaccard_join,
@@ -15,6 +16,7 @@ from rillflow.llm import (
     mixing,
     quality_rules,
     token_files,
+    toxicity,
 )
 from rillflow.llm.common import table
 
@@ -86,6 +88,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.fit_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_classifier.fit_and_score(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -97,5 +109,7 @@ QUERIES = {
         op6_chat_format,
         op7_license_scan,
         op8_quality_rules,
+        op9_toxicity,
+        op10_quality_classifier,
     )
 }
