@@ -150,4 +150,7 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -
     """
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                         F.col(f"`{text}`").alias("_text"))
-    return judge(inner, rules, "_text").where("kept").select("_row.*")
+    # A filter on plain columns would be moved below the projection, with every measure written
+    # out in full inside it; the optimizer leaves it above a column that numbers rows.
+    judged = judge(inner, rules, "_text").withColumn("_at", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
