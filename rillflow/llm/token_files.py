@@ -21,43 +21,106 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import map_pandas, whole_text
+from rillflow.llm.common import map_arrow, map_pandas, whole_text
 from rillflow.session import fresh_folder, pin, reducers
 
 #: Tokens of a block, at least (a block ends with a document), and of a shard, about.
 BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 25
 #: Pieces that a worker remembers; beyond that it starts anew.  Bounds memory, not results.
-KNOWN_PIECES = 600_000
+KNOWN_PIECES = 400_000
 
 _loaded: dict = {}
 
 
+#: Text in which a blank is next to other white space, or that has the mark used for cutting.
+UNEVEN = r"(^|[\s\p{Z}\x1c-\x1f\x{85}]) | ([\s\p{Z}\x1c-\x1f\x{85}]|$)|\x01"
+
+
 class Encoder:
+    """Encodes each distinct piece once; ids of the known pieces lie one after another in a table."""
+
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.known: dict[str, bytes] = {}
-
-    def texts(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [pieces(t) for t in texts]
+        ids = lambda t: self.tokenizer.encode(t, add_special_tokens=False).ids
+        line = ids("\n")
+        # true of tokenizers that split words, marks and line feeds before they merge bytes
+        joins = all(ids(f"a\n{b}") == [*ids("a"), *line, *ids(b)] for b in (" b", "b", "1", " .", "."))
+        joins &= all(ids(f"the{m}") == [*ids("the"), *ids(m)] for m in ".,!#*&%$")
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        joins &= not any(a.isalpha() and b in ".,!#*&%$\n" for t in added for a, b in zip(t, t[1:]))
+        self.line = line[0] if len(line) == 1 and joins else None
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.table = [np.zeros(0, np.uint32)]
+        self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
+
+    def learn(self, new: list[str]) -> None:
+        """Encodes pieces, plain words a thousand at a time: line feeds between them end a piece."""
+        plain, rest = [], []
+        for p in new:
+            bare = p[1:] if p[:1] == " " else p
+            (plain if self.line is not None and bare.split() == [bare] else rest).append(p)
+        groups = [plain[i : i + 1_000] for i in range(0, len(plain), 1_000)]
+        texts = ["\n".join(g) for g in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line)
+            if len(ends) != len(group) - 1:
+                rest += group
+                continue
+            self.add(group, np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1, ids[ids != self.line])
+        if rest:
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            self.add(rest, np.array([len(i) for i in ids], np.int64), np.array([x for i in ids for x in i], np.uint32))
+        self.table, self.sizes = [np.concatenate(self.table)], [np.concatenate(self.sizes)]
+
+    def add(self, names: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
+        self.sizes.append(sizes.astype(np.int64))
+        self.table.append(ids)
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and the number of ids of each."""
         if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        known = self.known
-        new = list({p for one in cut for p in one if p not in known})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for piece, e in zip(part, encoded):
-                known[piece] = np.array(e.ids, "<u4").tobytes()
-        return [b"".join([known[p] for p in one]) for one in cut]
+            self.forget()
+        marked = pc.replace_substring(texts, " ", "\x01 ")
+        if self.line is not None:
+            # letters also end before a mark, and a single line feed stands alone between words
+            marked = pc.replace_substring_regex(marked, r"(\p{L})([.,!#*&%$])", "\\1\x01\\2")
+            marked = pc.replace_substring_regex(marked, r"([\p{L}.,])\n(\p{L})", "\\1\x01\n\x01\\2")
+        cut = pc.split_pattern(marked, "\x01")
+        uneven = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
+        if uneven.any():
+            where = np.flatnonzero(uneven)
+            slow = pa.array([pieces(texts[int(i)].as_py()) for i in where], cut.type)
+            order = np.arange(len(texts))
+            order[where] = len(texts) + np.arange(len(where))
+            cut = pa.concat_arrays([cut, slow]).take(pa.array(order))
+        counts = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        self.learn([p for p in names if p not in self.known])
+        number = np.array([self.known[p] for p in names], np.int64)
+        which = number[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
+        sizes = self.sizes[0]
+        starts = np.cumsum(sizes) - sizes
+        own = sizes[which]
+        ends = np.cumsum(own)
+        flat = self.table[0][np.repeat(starts[which] - (ends - own), own) + np.arange(int(own.sum()))]
+        of_text = np.concatenate([[0], ends])[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
+        return flat, np.diff(of_text, prepend=0)
 
 
 def pieces(text: str) -> list[str]:
@@ -96,23 +159,31 @@ def stretch(packed: bytes) -> np.ndarray:
 def tokenize(docs: DataFrame, model_path: str, end_id: int | None, text: str = "text") -> DataFrame:
     """``doc_id, n_tokens, ids_crc32, packed``: a row per document, the end token included."""
     model = Path(model_path).read_text(encoding="utf-8")  # one vocabulary file, of bounded size
-    end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+    end = np.array([] if end_id is None else [end_id], np.uint32)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
         for batch in batches:
-            ids = [x + end for x in own.texts(batch["text"].tolist())]
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"].astype("Int64"),
-                    "n_tokens": [len(x) // 4 for x in ids],
-                    "ids_crc32": [zlib.crc32(x) for x in ids],
-                    "packed": [squeeze(x) for x in ids],
-                }
-            )
+            for at in range(0, len(batch), 2_000):
+                part = batch.slice(at, 2_000)
+                flat, sizes = own.texts(part["text"])
+                ends = np.cumsum(sizes)
+                ids = [
+                    np.concatenate([flat[b - n : b], end]).astype("<u4").tobytes()
+                    for b, n in zip(ends, sizes)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["doc_id"],
+                        pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+                        pa.array([squeeze(x) for x in ids], pa.binary()),
+                    ],
+                    names=["doc_id", "n_tokens", "ids_crc32", "packed"],
+                )
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text(text).alias("text"))
-    return map_pandas(rows, run, "doc_id long, n_tokens long, ids_crc32 long, packed binary")
+    return map_arrow(rows, run, "doc_id long, n_tokens long, ids_crc32 long, packed binary")
 
 
 def ranks(tokens: DataFrame) -> np.ndarray:
