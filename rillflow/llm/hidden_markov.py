@@ -61,6 +61,19 @@ def stretch(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<i4")
 
 
+def pack_share(share: np.ndarray) -> bytes:
+    """How each word's count splits among the states, in 1/65535ths; the count itself goes apart."""
+    total = np.maximum(share.sum(1, keepdims=True), 1e-30)
+    planes = np.ascontiguousarray(np.rint(share / total * 65535).astype("<u2").T)
+    return zstandard.ZstdCompressor(level=1).compress(planes.view(np.uint8).tobytes())
+
+
+def unpack_share(packed: bytes, counts: np.ndarray, states: int) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    parts = np.frombuffer(raw, "<u2").reshape(states, -1).T.astype(np.float64)
+    return parts / np.maximum(parts.sum(1, keepdims=True), 1) * counts[:, None]
+
+
 def lanes_of(words: list[str], lanes: int) -> np.ndarray:
     return np.array([xxhash.xxh32_intdigest(w) for w in words], np.int64) % lanes
 
@@ -281,7 +294,7 @@ def first_gather(packs: DataFrame, seed: DataFrame, states: int, prior: np.ndarr
 def returned(lane, blocks: pd.DataFrame, places: list, counts: np.ndarray, share: np.ndarray) -> pd.DataFrame:
     """What each block gets of a lane, and one row without block: the lane's sums."""
     out = [
-        (lane, b, ids, squeeze(p), squeeze(counts[p]), share[p].astype("<f4").tobytes(), None)
+        (lane, b, ids, squeeze(p), squeeze(counts[p]), pack_share(share[p]), None)
         for b, ids, p in zip(blocks["block"], blocks["ids"], places)
     ]
     sums = [float((counts > 0).sum()), float(counts.sum()), *share.sum(0).tolist()]
@@ -297,8 +310,9 @@ def gather(found: DataFrame, states: int) -> DataFrame:
         n = max(int(p.max(initial=-1)) for p in places) + 1
         counts, share = np.zeros(n), np.zeros((n, states))
         for p, c, s in zip(places, group["counts"], group["share"]):
-            counts[p] = stretch(c)  # a block's words are distinct
-            share[p] += np.frombuffer(s, "<f4").reshape(-1, states)
+            own = stretch(c)
+            counts[p] += own  # a block's words are distinct
+            share[p] += unpack_share(s, own, states)
         return returned(group["lane"].iloc[0], group, places, counts, share)
 
     return found.where("lane >= 0").drop("sums").groupBy("lane").applyInPandas(run, LANE)
@@ -317,8 +331,8 @@ def opened(pack: pd.DataFrame, words: pd.DataFrame, sums: np.ndarray, states: in
     counts, share = np.zeros(n, np.int64), np.zeros((n, states), np.float32)
     for ids, c, s in zip(words["ids"], words["counts"], words["share"]):
         at = stretch(ids)
-        counts[at] = stretch(c)
-        share[at] = np.frombuffer(s, "<f4").reshape(-1, states)
+        counts[at] = own = stretch(c)
+        share[at] = unpack_share(s, own, states)
     train = np.frombuffer(row["train"], bool)
     return row, stretch(row["tokens"]), stretch(row["lengths"]).astype(np.int64), train, counts, emissions(share, sums[2:], sums[0])
 
@@ -333,13 +347,13 @@ def expect(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) -
         _, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
         mine = np.repeat(train, lengths)
         share, starts, moves, _ = expected(tokens[mine], lengths[train], len(counts), table, start, move)
-        share = share.astype("<f4")
-        out = [
-            (lane, block, ids, place, c, share[stretch(ids)].tobytes(), None)
-            for lane, block, ids, place, c in zip(
-                words["lane"], words["block"], words["ids"], words["place"], words["counts"]
-            )
-        ]
+        own = np.bincount(tokens[mine], minlength=len(counts))
+        out = []
+        for lane, block, ids, place in zip(
+            words["lane"], words["block"], words["ids"], words["place"]
+        ):
+            at = stretch(ids)
+            out.append((lane, block, ids, place, squeeze(own[at]), pack_share(share[at]), None))
         out.append((-1, None, None, None, None, None, [*starts, *moves.ravel()]))
         return pd.DataFrame(out, columns=[f.split(" ")[0] for f in LANE.split(", ")])
 
