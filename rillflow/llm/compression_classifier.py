@@ -115,6 +115,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality
 
     one_task = texts.select("doc_id", "label", "part", "text").coalesce(1)  # bounded by SAMPLE
     row = map_arrow(one_task, run, "good binary, bad binary, beta array<double>").first()
+    if row is None:  # no partition, so no task
+        return b"", b"", np.zeros(5)
     return bytes(row["good"]), bytes(row["bad"]), np.array(row["beta"])
 
 

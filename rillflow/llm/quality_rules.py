@@ -92,6 +92,9 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         lambda b, a: F.least(b - a, F.lit(WINDOW)),
     )
     covered = F.aggregate(steps, F.lit(WINDOW), lambda total, step: total + step)
+    # A filter on these measures would be moved below the projection, with each of them written out
+    # in full inside it, lambdas in lambdas; it stays above a column that numbers rows.
+    nothing = F.least(F.lit(0).cast("long"), F.monotonically_increasing_id())
     stop = sorted({w for s in STOP_WORDS.split() for w in (s, s.capitalize())})
     return (
         docs.withColumns({"_words": words_of(body), "_lines": lines})
@@ -106,7 +109,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         .withColumn("_starts", F.when(F.col("_pairs").isNotNull(), twice))
         .withColumns(
             {
-                "n_words": F.size("_words").cast("long"),
+                "n_words": F.size("_words") + nothing,
                 "word_chars": F.length(F.array_join("_words", "")).cast("long"),
                 "n_symbols": (
                     F.length(body) - F.length(F.regexp_replace(body, "[#*$%&|<>]", ""))
@@ -150,7 +153,4 @@ def keep(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -
     """
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                         F.col(f"`{text}`").alias("_text"))
-    # A filter on plain columns would be moved below the projection, with every measure written
-    # out in full inside it; the optimizer leaves it above a column that numbers rows.
-    judged = judge(inner, rules, "_text").withColumn("_at", F.monotonically_increasing_id())
-    return judged.where(F.col("kept") & (F.col("_at") >= 0)).select("_row.*")
+    return judge(inner, rules, "_text").where("kept").select("_row.*")
