@@ -2,7 +2,7 @@
 
 ``tokenize``  text -> ids with the tokenizers library.  A text is cut before single blanks between
     two other characters, where byte-level BPE always ends a piece, and each piece is encoded once
-    per worker: the joined ids equal those of the whole text.
+    per task: the joined ids equal those of the whole text.
 ``ranks``     ids by falling frequency over all documents (ties: smaller id first).
 ``write``     documents in ascending doc_id order.  An id is stored as its rank in 1 to 4 bytes,
     little-endian; the lengths stand apart, two bits each, four in a control byte.  A row of the
@@ -34,8 +34,10 @@ from rillflow.session import fresh_folder, pin, reducers
 #: Tokens of a block, at least (a block ends with a document), and of a shard, about.
 BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 25
-#: Pieces that a worker remembers; beyond that it starts anew.  Bounds memory, not results.
+#: Pieces that a task remembers; beyond that it starts anew.  Bounds memory, not results.
 KNOWN_PIECES = 400_000
+#: Texts that are encoded together.
+SLICE = 600
 
 _loaded: dict = {}
 
@@ -163,29 +165,35 @@ def tokenize(docs: DataFrame, model_path: str, end_id: int | None, text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
-        for batch in batches:
-            for at in range(0, len(batch), 2_000):
-                part = batch.slice(at, 2_000)
-                flat, sizes = own.texts(part["text"])
-                ends = np.cumsum(sizes)
-                ids = [
-                    np.concatenate([flat[b - n : b], end]).astype("<u4").tobytes()
-                    for b, n in zip(ends, sizes)
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part["doc_id"],
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-                        pa.array([squeeze(x) for x in ids], pa.binary()),
-                    ],
-                    names=["doc_id", "n_tokens", "ids_crc32", "packed"],
-                )
+        try:
+            for batch in batches:
+                for at in range(0, len(batch), SLICE):
+                    yield encoded(own, batch.slice(at, SLICE), end)
+        finally:  # the worker lives on: it keeps the tokenizer, not the pieces of this task
+            own.forget()
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text(text).alias("text"))
     return map_arrow(rows, run, "doc_id long, n_tokens long, ids_crc32 long, packed binary")
 
 
+def encoded(own: Encoder, part: pa.RecordBatch, end: np.ndarray) -> pa.RecordBatch:
+    flat, sizes = own.texts(part["text"])
+    ids = [
+        np.concatenate([flat[b - n : b], end]).astype("<u4").tobytes()
+        for b, n in zip(np.cumsum(sizes), sizes)
+    ]
+    return pa.RecordBatch.from_arrays(
+        [
+            part["doc_id"],
+            pa.array([len(x) // 4 for x in ids], pa.int64()),
+            pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+            pa.array([squeeze(x) for x in ids], pa.binary()),
+        ],
+        names=["doc_id", "n_tokens", "ids_crc32", "packed"],
+    )
+
+
 def ranks(tokens: DataFrame) -> np.ndarray:
     """Ids by falling frequency; the driver gets one count per id of the vocabulary, no more."""
 
