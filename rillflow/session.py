@@ -27,11 +27,20 @@ def build_session(app: str = "rillflow", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def in_one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where it is unset.
+
+    Only in one process: on a cluster every executor would write to a disk of its own.
+    """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if named is None:
+        if not in_one_process(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="rillflow-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
