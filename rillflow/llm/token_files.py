@@ -2,7 +2,7 @@
 
 ``tokenize``  text -> ids with the tokenizers library.  A text is cut before single blanks between
     two other characters, where byte-level BPE always ends a piece, and each piece is encoded once
-    per task: the joined ids equal those of the whole text.
+    per worker: the joined ids equal those of the whole text.
 ``ranks``     ids by falling frequency over all documents (ties: smaller id first).
 ``write``     documents in ascending doc_id order.  An id is stored as its rank in 1 to 4 bytes,
     little-endian; the lengths stand apart, two bits each, four in a control byte.  A row of the
@@ -34,7 +34,7 @@ from rillflow.session import fresh_folder, pin, reducers
 #: Tokens of a block, at least (a block ends with a document), and of a shard, about.
 BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 25
-#: Pieces that a task remembers; beyond that it starts anew.  Bounds memory, not results.
+#: Pieces that a worker remembers; beyond that it starts anew.  Bounds memory, not results.
 KNOWN_PIECES = 400_000
 #: Texts that are encoded together.
 SLICE = 600
@@ -169,8 +169,7 @@ def tokenize(docs: DataFrame, model_path: str, end_id: int | None, text: str = "
             for batch in batches:
                 for at in range(0, len(batch), SLICE):
                     yield encoded(own, batch.slice(at, SLICE), end)
-        finally:  # the worker lives on: it keeps the tokenizer, not the pieces of this task
-            own.forget()
+        finally:  # the worker lives on, with its pieces, and should hold no more than those
             pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text(text).alias("text"))
