@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -39,14 +40,46 @@ def ship(spark: SparkSession) -> None:
     sc._rillflow_shipped = True
 
 
+def release() -> None:
+    """Gives freed memory back to the system: workers live on between tasks, side by side."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
+def tidy(function: Callable) -> Callable:
+    """``function`` on the batches of a task, with its freed memory released at the end."""
+
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from function(batches)
+        finally:
+            release()
+
+    return run
+
+
 def map_pandas(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInPandas(function, schema)
+    return df.mapInPandas(tidy(function), schema)
 
 
 def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(tidy(function), schema)
+
+
+def text_slices(batch: pa.RecordBatch, size: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of ``batch`` with about ``size`` bytes of text; a longer text stands alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(batch):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
 
 
 def blank_split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

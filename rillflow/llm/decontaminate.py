@@ -35,11 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import blank_split, map_arrow, whole_text, without_empty
+from rillflow.llm.common import blank_split, map_arrow, text_slices, whole_text, without_empty
 from rillflow.operators.joins import fits_broadcast
 from rillflow.session import pin
 
 BLOCK_WORDS = 500_000
+#: Bytes of text whose windows walk side by side, about.
+SLICE_BYTES = 1 << 23
 #: Places sampled for a key.
 SAMPLED = 3
 MAX_REPEATS = 120
@@ -344,7 +346,7 @@ def matches(
 
         def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             own = matcher(block, target)
-            for batch in batches:
+            for batch in (part for whole in batches for part in text_slices(whole, SLICE_BYTES)):
                 found = own.find(*own.encode(batch["text"])) if own.items else []
                 at = pa.array([f[0] for f in found], pa.int64())
                 items = [own.items[f[1]] for f in found]

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import map_arrow, map_pandas, whole_text
+from rillflow.llm.common import map_arrow, map_pandas, text_slices, whole_text
 from rillflow.session import fresh_folder, pin, reducers
 
 #: Tokens of a block, at least (a block ends with a document), and of a shard, about.
@@ -36,8 +36,8 @@ BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 25
 #: Pieces that a worker remembers; beyond that it starts anew.  Bounds memory, not results.
 KNOWN_PIECES = 400_000
-#: Texts that are encoded together.
-SLICE = 600
+#: Bytes of text that are encoded together, about.
+SLICE_BYTES = 1 << 22
 
 _loaded: dict = {}
 
@@ -165,12 +165,9 @@ def tokenize(docs: DataFrame, model_path: str, end_id: int | None, text: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(model)
-        try:
-            for batch in batches:
-                for at in range(0, len(batch), SLICE):
-                    yield encoded(own, batch.slice(at, SLICE), end)
-        finally:  # the worker lives on, with its pieces, and should hold no more than those
-            pa.default_memory_pool().release_unused()
+        for batch in batches:
+            for part in text_slices(batch, SLICE_BYTES):
+                yield encoded(own, part, end)
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text(text).alias("text"))
     return map_arrow(rows, run, "doc_id long, n_tokens long, ids_crc32 long, packed binary")
