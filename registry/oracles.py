@@ -324,6 +324,9 @@ _BODIES: dict[str, str] = {
         (SELECT l.log_id FROM early l JOIN dim_p p ON l.product_id = p.product_id
          WHERE l.log_id IS NOT NULL)""",
     "agg_session_metrics": "SELECT * FROM agg",
+    "fact_after_failed_run": "SELECT * FROM fact",
+    "agg_after_failed_run": "SELECT * FROM agg",
+    "rebuild_sessions_once": "SELECT * FROM agg",
     "agg_incremental": """SELECT * FROM agg
         WHERE session_id NOT IN (SELECT session_id FROM early)""",
     "product_daily_stats": """SELECT product_sk, etl_run_date,

@@ -338,6 +338,43 @@ def agg_incremental(f: Frames) -> DataFrame:
     return rounded(f.agg_of(f.silver_plain, loaded=f.agg_of(_early(f.silver_plain))))
 
 
+def _gold_after_failed_run(f: Frames) -> Lake:
+    """Two runs of one input, the first of which never got to Gold."""
+    f.ready("users", "products")
+    f.ready("weblogs", "dim_user", "dim_product")
+    lake = Lake(f.spark, fresh_folder(f.spark, "lake"))
+    lake.write_dim(f.dim_user, "dim_user", RUN_1)
+    lake.write_dim(f.dim_product, "dim_product", RUN_1)
+    for ctx in (RUN_1, RUN_2):
+        pipeline.write_logs(lake, ctx, f.silver)
+    return lake
+
+
+@query
+def fact_after_failed_run(f: Frames) -> DataFrame:
+    """Facts after a load of two runs of one input, and a second load that finds nothing new."""
+    lake = _gold_after_failed_run(f)
+    for _ in range(2):
+        pipeline.load_facts(lake)
+    return lake.read_gold("fact_user_activity").drop("activity_id")
+
+
+@query
+def agg_after_failed_run(f: Frames) -> DataFrame:
+    lake = _gold_after_failed_run(f)
+    for _ in range(2):
+        pipeline.load_sessions(lake)
+    return rounded(lake.read_gold("agg_session_metrics"))
+
+
+@query
+def rebuild_sessions_once(f: Frames) -> DataFrame:
+    """Sessions summed up anew over two runs of one input."""
+    lake = _gold_after_failed_run(f)
+    pipeline.rebuild_sessions(lake)
+    return rounded(lake.read_gold("agg_session_metrics"))
+
+
 @query
 def product_daily_stats(f: Frames) -> DataFrame:
     return gold.product_daily_stats(f.fact)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark import StorageLevel
@@ -10,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.context import RunContext
-from rillflow.operators.joins import total_bytes, within_limit
+from rillflow.operators.joins import fits_broadcast, total_bytes, within_limit
 from rillflow.operators.quality import (
     REASONS,
     classify,
@@ -100,18 +102,34 @@ def build_silver(lake: Lake, ctx: RunContext, rows: Rows, **fits: bool) -> None:
     users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
     logs = to_silver(lake.read_bronze("weblogs", ctx), ctx)
 
-    def write(dataset: str, df: DataFrame) -> None:
-        written = lake.write_silver(df, dataset, ctx)["rows"]
+    def note(dataset: str, written: int) -> None:
         if written:
             rows.append(("loaded", "silver", dataset, None, float(written)))
 
+    def write(dataset: str, df: DataFrame) -> None:
+        note(dataset, lake.write_silver(df, dataset, ctx)["rows"])
+
+    def write_all_logs() -> None:
+        note("weblogs_clean", write_logs(lake, ctx, in_session_order(enrich(logs, users, products, **fits))))
+
     together(
-        lambda: write("weblogs_clean", in_session_order(enrich(logs, users, products, **fits))),
+        write_all_logs,
         lambda: write("users_clean", snapshot(users, "users_clean", ctx)),
         lambda: write("products_clean", snapshot(products, "products_clean", ctx)),
     )
 
 
+def write_logs(lake: Lake, ctx: RunContext, logs: DataFrame) -> int:
+    """Write the Silver logs of a run, then list the run, told from others by what its logs are."""
+    cells = F.xxhash64("log_id", "user_id", "product_id", "session_id", "action", "timestamp", "row_index")
+    sums = {f"sum{k}": F.sum(F.pmod(F.shiftright(cells, 32 * k), F.lit(1 << 31))) for k in (0, 1)}
+    n = lake.write_silver(logs, "weblogs_clean", ctx, counts=sums)
+    if n["rows"]:
+        content = ":".join(str(n[k]) for k in ("rows", "sum0", "sum1"))
+        lake.note_run("silver", ctx.run_id, ctx.run_date, ctx.run_ts, content)
+    return n["rows"]
+
+
 def note_anomalies(lake: Lake, ctx: RunContext, rows: Rows) -> None:
     counts = anomaly_counts(session_metrics(current_logs(lake, ctx))).first().asDict()
     rows += [("anomaly", None, kind, None, float(n)) for kind, n in counts.items()]
@@ -124,15 +142,56 @@ def note_observations(lake: Lake, ctx: RunContext, raw: dict[str, DataFrame], ro
 
 
 def current_logs(lake: Lake, ctx: RunContext) -> DataFrame:
-    mine = (F.col("etl_run_date") == ctx.date_col()) & (F.col("etl_run_id") == ctx.run_id)
+    return logs_of(lake, ctx.run_id, ctx.run_date)
+
+
+def logs_of(lake: Lake, run_id: str, run_date: date) -> DataFrame:
+    mine = (F.col("etl_run_date") == F.lit(run_date)) & (F.col("etl_run_id") == run_id)
     return lake.read_silver("weblogs_clean").where(mine)
 
 
+def load_runs(
+    lake: Lake, table: str, build: Callable[[DataFrame], DataFrame], sort: list[str],
+    only: str | None = None,
+) -> int:
+    """Load the logs of every pending run (or of that one), one run after the other.
+
+    A run is listed as loaded once its rows are written, and each one is guarded by what Gold has
+    by then: a retry, or a later run of the same logs, adds nothing.
+    """
+    n = 0
+    for r in lake.pending_runs(table):
+        if only in (None, r.etl_run_id):
+            new = build(logs_of(lake, r.etl_run_id, r.etl_run_date))
+            n += lake.append_gold(new, table, sort=sort)["rows"]
+            lake.note_run(table, r.etl_run_id, r.etl_run_date, r.run_ts, r.content)
+    return n
+
+
+def load_facts(lake: Lake, only: str | None = None, **fits: bool) -> int:
+    users, products = lake.read_dim("dim_user"), lake.read_dim("dim_product")
+
+    def build(logs: DataFrame) -> DataFrame:
+        fact = lake.read_gold("fact_user_activity")
+        return gold.number_facts(gold.fact_rows(logs, users, products, fact, **fits), fact)
+
+    return load_runs(lake, "fact_user_activity", build, ["action"], only)
+
+
+def load_sessions(lake: Lake, only: str | None = None, **fits: bool) -> int:
+    users = lake.read_dim("dim_user")
+
+    def build(logs: DataFrame) -> DataFrame:
+        return gold_session_metrics(logs, users, lake.read_gold("agg_session_metrics"), **fits)
+
+    return load_runs(lake, "agg_session_metrics", build, ["session_id"], only)
+
+
 def build_gold(lake: Lake, ctx: RunContext, rows: Rows, scope: str = "all") -> None:
     """Dimensions, then facts and sessions, which need the surrogate keys.
 
-    ``scope="all"`` reads the Silver files of all runs, so it also catches up on runs that never
-    got here; ``scope="run"`` reads this run's partitions alone.
+    ``scope="all"`` loads the logs of every run that Gold does not have, so it also catches up on
+    runs that never got here; ``scope="run"`` loads this run's alone.
     """
     if scope not in ("all", "run"):
         raise ValueError(f"Unknown scope: {scope!r}")
@@ -158,31 +217,25 @@ def build_gold(lake: Lake, ctx: RunContext, rows: Rows, scope: str = "all") -> N
         partial(dimension, "dim_product", gold.product_dimension, "products_clean"),
         partial(note_anomalies, lake, ctx, rows),
     )
-    users, products = lake.read_dim("dim_user"), lake.read_dim("dim_product")
     users_fit, products_fit = pairs_fit(n_users), pairs_fit(n_products)
-    logs = current_logs(lake, ctx) if scope == "run" else lake.read_silver("weblogs_clean")
-
-    def facts() -> None:
-        fact = lake.read_gold("fact_user_activity")
-        new = gold.fact_rows(
-            logs, users, products, fact, users_fit=users_fit, products_fit=products_fit
-        )
-        new = gold.number_facts(new, fact)
-        n = lake.append_gold(new, "fact_user_activity", sort=["action"])
-        note("fact_user_activity", n["rows"])
-
-    def session_rows() -> None:
-        done = lake.read_gold("agg_session_metrics")
-        new = gold_session_metrics(logs, users, done, users_fit=users_fit)
-        n = lake.append_gold(new, "agg_session_metrics", sort=["session_id"])
-        note("agg_session_metrics", n["rows"])
+    only = ctx.run_id if scope == "run" else None
+    together(
+        lambda: note(
+            "fact_user_activity", load_facts(lake, only, users_fit=users_fit, products_fit=products_fit)
+        ),
+        lambda: note("agg_session_metrics", load_sessions(lake, only, users_fit=users_fit)),
+    )
 
-    together(facts, session_rows)
 
 def rebuild_sessions(lake: Lake) -> int:
-    """Sum up all Silver logs again; unlike a load this takes late logs of known sessions in."""
-    logs, users = lake.read_silver("weblogs_clean"), lake.read_dim("dim_user")
-    rows = gold_session_metrics(logs, users)
+    """Sum up all Silver logs again, those of repeated runs once.
+
+    Unlike a load this takes late logs of known sessions in.
+    """
+    runs = lake.silver_runs().select("etl_run_id", "etl_run_date")  # a row per run
+    logs = lake.read_silver("weblogs_clean")
+    logs = logs.join(F.broadcast(runs) if fits_broadcast(runs) else runs, ["etl_run_id", "etl_run_date"], "left_semi")
+    rows = gold_session_metrics(logs, lake.read_dim("dim_user"))
     return lake.overwrite_gold(rows, "agg_session_metrics", sort=["session_id"])["rows"]
 
 

@@ -103,6 +103,9 @@ REPORT = table(
     "section string, item string, sub_item string, value string, rank int, "
     "etl_run_date date, etl_run_id string"
 )
+RUNS = table(
+    "etl_run_id string, etl_run_date date, run_ts ntz, content string, stage string"
+)
 PRODUCT_DAILY = table("product_sk long, etl_run_date date, views long, purchases long")
 
 GOLD = {
@@ -119,5 +122,3 @@ ACTIONS = ["view", "add_to_cart", "purchase"]
 HIGH_ACTIVITY_ACTIONS = 50
 LONG_SESSION_STDDEVS = 2.0
 QUARANTINE_RATE_LIMIT = 0.10
-
-RUN_STATUSES = ["SUCCESS", "PARTIAL", "FAILED"]

@@ -7,21 +7,23 @@
 
 Every write names the folder of its own partition, so writing a day again replaces that day and
 leaves no stale files.  A dimension gets a new version folder per load; ``gold/_versions/name=T``
-lists the finished ones, and readers take the newest of these.
+lists the finished ones, and readers take the newest of these.  ``_runs`` lists the runs whose
+Silver logs are whole, and those that each Gold table has.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import date, datetime
 from functools import partial
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.context import RunContext
-from rillflow.schemas import BRONZE, GOLD, METRICS, QUARANTINE, REPORT, SILVER, SILVER_PARTITIONS, table
+from rillflow.schemas import BRONZE, GOLD, METRICS, QUARANTINE, REPORT, RUNS, SILVER, SILVER_PARTITIONS, table
 from rillflow.session import together
 from rillflow.sources.tables import CSV_OPTIONS
 
@@ -132,12 +134,14 @@ class Lake:
         return rows.groupBy("kind", "layer", "name", "detail").agg(F.sum("value").alias("value"))
 
     # silver -------------------------------------------------------------------------------
-    def write_silver(self, df: DataFrame, dataset: str, ctx: RunContext) -> dict[str, int]:
+    def write_silver(
+        self, df: DataFrame, dataset: str, ctx: RunContext, *, counts: dict[str, Column] | None = None
+    ) -> dict[str, int]:
         if dataset not in SILVER:
             raise ValueError(f"Unknown silver dataset: {dataset!r}")
         values = {"etl_run_date": ctx.run_date, "etl_run_id": ctx.run_id}
         parts = {k: values[k] for k in SILVER_PARTITIONS[dataset]}
-        return self._write(df.drop(*parts), self.path("silver", dataset, **parts), "overwrite")
+        return self._write(df.drop(*parts), self.path("silver", dataset, **parts), "overwrite", counts=counts)
 
     def read_silver(self, dataset: str) -> DataFrame:
         """All runs; a filter on the run date or id prunes to its folders."""
@@ -145,6 +149,31 @@ class Lake:
             *SILVER[dataset].names
         )
 
+    # run list -----------------------------------------------------------------------------
+    def note_run(
+        self, stage: str, run_id: str, run_date: date, run_ts: datetime, content: str
+    ) -> None:
+        """List a run whose Silver logs are whole (``silver``) or in a Gold table (its name)."""
+        entry = self.spark.createDataFrame([(run_id, run_date, run_ts, content, stage)], RUNS)
+        # a run that writes its Silver logs again replaces its entry
+        own = stage == "silver"
+        path = self.path("_runs", stage=f"silver-{run_date}-{run_id}" if own else stage)
+        entry.drop("stage").coalesce(1).write.mode("overwrite" if own else "append").parquet(path)
+
+    def read_runs(self) -> DataFrame:
+        return Lake(self.spark, self.root)._read(self.path("_runs"), RUNS)
+
+    def silver_runs(self) -> DataFrame:
+        """Runs with whole Silver logs; of runs with the same logs the first one."""
+        whole = self.read_runs().where(F.col("stage").startswith("silver-")).drop("stage")
+        first = F.row_number().over(Window.partitionBy("content").orderBy("run_ts", "etl_run_id"))
+        return whole.withColumn("_n", first).where("_n = 1").drop("_n")
+
+    def pending_runs(self, table: str) -> list[Row]:
+        """Runs whose logs no run has loaded into a Gold table, oldest first."""
+        done = self.read_runs().where(F.col("stage") == table).select("content")
+        return self.silver_runs().join(done, "content", "left_anti").orderBy("run_ts", "etl_run_id").collect()
+
     # gold ---------------------------------------------------------------------------------
     def init_gold(self, ctx: RunContext) -> None:
         """Empty Gold tables; wipes what is there."""
@@ -156,6 +185,8 @@ class Lake:
                 self._write(none, self.path("gold", "_versions", name=name), "overwrite")
                 self.write_dim(empty, name, ctx)
             else:
+                none = self.spark.createDataFrame([], RUNS).drop("stage")
+                none.write.mode("overwrite").parquet(self.path("_runs", stage=name))
                 kept = empty if name == "etl_audit_log" else empty.drop("etl_run_date")
                 self._write(kept, self.path("gold", name), "overwrite")
 
