@@ -105,6 +105,14 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text", source: str | None = None) -> Column:
+    """128-bit key of a row by its id and text (and source); a null id is none of the numbers."""
+    parts = [F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))]
+    if source is not None:
+        parts.append(F.coalesce(F.md5(F.col(source).cast("string").cast("binary")), F.lit("null")))
+    return F.md5(F.concat_ws("\x00", *parts, whole_text(text)).cast("binary"))
+
+
 def words_of(text: Column) -> Column:
     """Array of the words between blanks, in order."""
     bare = F.btrim(text, F.lit(BLANKS))

@@ -32,10 +32,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import blank_split, map_arrow, text_slices, whole_text, without_empty
+from rillflow.llm.common import blank_split, map_arrow, row_key, text_slices, whole_text, without_empty
 from rillflow.operators.joins import fits_broadcast
 from rillflow.session import pin
 
@@ -337,8 +337,14 @@ def matches(
     text: str = "text", doc_id: str = "doc_id",
 ) -> DataFrame:
     """``doc_id, item_id, edits, first_word, last_word, item_words``: verified finds."""
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
-    schema = "doc_id long, item_id long, edits int, first_word long, last_word long, item_words int"
+    name = F.col(f"`{doc_id}`").cast("long").alias("doc_id")
+    return finds(docs, benchmark, name, "long", target, text)
+
+
+def finds(docs: DataFrame, benchmark: DataFrame, name: Column, kind: str, target: float, text: str = "text") -> DataFrame:
+    """Verified finds; ``name``, of type ``kind``, tells the rows of ``docs`` apart as ``doc_id``."""
+    rows = docs.select(name, whole_text(f"`{text}`").alias("text"))
+    schema = f"doc_id {kind}, item_id long, edits int, first_word long, last_word long, item_words int"
     # Items are read a block at a time; the whole benchmark is never in one place.
     stream = benchmark.select(F.col("item_id").cast("long"), "text").toLocalIterator()
     out = None
@@ -368,7 +374,8 @@ def matches(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` in which no item was found; rows are told apart by their id."""
-    found = pin(matches(docs, benchmark).select(F.col("doc_id").alias("_leak")).distinct())
+    """The rows of ``docs`` in which no item was found; rows are told apart by id and text."""
+    found = finds(docs, benchmark, row_key().alias("doc_id"), "string", TARGET_RECALL)
+    found = pin(found.select(F.col("doc_id").alias("_leak")).distinct())
     leaks = F.broadcast(found) if fits_broadcast(found) else found
-    return docs.join(leaks, docs["doc_id"].eqNullSafe(leaks["_leak"]), "left_anti")
+    return docs.join(leaks, row_key() == leaks["_leak"], "left_anti")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import blank_split, map_arrow, whole_text
+from rillflow.llm.common import blank_split, map_arrow, row_key, whole_text
 from rillflow.operators.joins import fits_broadcast, lookup
 from rillflow.session import pin, reducers
 
@@ -111,11 +111,15 @@ def set_key(s: np.ndarray) -> bytes:
 
 
 def rows_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), whole_text(f"`{text}`").alias("text"))
+    return docs.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+        whole_text(f"`{text}`").alias("text"),
+        row_key(f"`{doc_id}`", f"`{text}`").alias("row"),
+    )
 
 
 def signatures(rows: DataFrame, depth: int) -> DataFrame:
-    """``doc_id, key, grams, heads, tails``: a row per document."""
+    """``doc_id, row, key, grams, heads, tails``: a row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -126,16 +130,17 @@ def signatures(rows: DataFrame, depth: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part["doc_id"],
+                        part["row"],
                         pa.array([set_key(s) for s in sets], pa.binary()),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(list(heads.view(np.int64)), pa.list_(pa.int64())),
                         # 2 bytes of each value sort the trie below the prefix
                         pa.array([t.astype(np.uint16).tobytes() for t in tails], pa.binary()),
                     ],
-                    names=["doc_id", "key", "grams", "heads", "tails"],
+                    names=["doc_id", "row", "key", "grams", "heads", "tails"],
                 )
 
-    schema = "doc_id long, key binary, grams long, heads array<long>, tails binary"
+    schema = "doc_id long, row string, key binary, grams long, heads array<long>, tails binary"
     return map_arrow(rows, run, schema)
 
 
@@ -251,7 +256,7 @@ def sets_of(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """
     ids = wanted.select(F.col("rep")).distinct()
     ids = F.broadcast(ids) if fits_broadcast(wanted.select("rep")) else ids
-    few = rows.join(ids, rows["doc_id"].eqNullSafe(ids["rep"]), "left_semi")
+    few = rows.drop("row").join(ids, rows["doc_id"].eqNullSafe(ids["rep"]), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,6 +320,16 @@ def join(
 
     ``n_links`` counts the other rows whose word 5-gram sets are at least ``threshold`` alike.
     """
+    signed, table = linked(docs, threshold, target, text, doc_id)
+    return lookup(signed.select("doc_id", "key"), table.drop("root"), "key", row_id="doc_id").select(
+        "doc_id", "class_id", "n_links"
+    )
+
+
+def linked(
+    docs: DataFrame, threshold: float, target: float = TARGET_RECALL, text: str = "text", doc_id: str = "doc_id"
+) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, row, key`` of each row, and ``key, root, class_id, n_links`` of each distinct set."""
     rows = rows_of(docs, text, doc_id)
     depth = depth_for(threshold, TREES, LONGEST, target)
     signed = pin(signatures(rows, depth))
@@ -363,29 +378,29 @@ def join(
     lowest = named.groupBy("root").agg(F.min("rep").alias("class_id"))
     table = pin(
         named.join(lowest, "root").select(
-            "key", "class_id", (F.col("n") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")
+            "key", "root", "class_id", (F.col("n") - 1 + F.coalesce("n_links", F.lit(0))).alias("n_links")
         )
     )
-    return lookup(signed.select("doc_id", "key"), table, "key", row_id="doc_id").select(
-        "doc_id", "class_id", "n_links"
-    )
+    return signed.select("doc_id", "row", "key"), table
 
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that stay: of each class the document with the class id.
+    """The rows of ``docs`` that stay: of each class the row with the smallest id, nulls last.
 
-    Rows that share that id and the text too are copies; one of them stays.
+    Rows are told apart by id and text.  Rows that share both are copies; one of them stays.
     """
-    found = pin(join(docs, threshold))
-    # a class without ids keeps its rows under the null id
-    losers = found.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone"))
-    losers = losers.distinct()
-    losers = F.broadcast(losers) if fits_broadcast(losers) else losers
-    kept = docs.join(losers, docs["doc_id"].eqNullSafe(losers["_gone"]), "left_anti")
-    twice = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("doc_id").alias("_twice"))
-    if twice.isEmpty():
-        return kept
-    again = kept["doc_id"].eqNullSafe(twice["_twice"])
-    return kept.join(twice, again, "left_anti").unionByName(
-        kept.join(twice, again, "left_semi").dropDuplicates(["doc_id"])
-    )
+    signed, table = linked(docs, threshold)
+    found = pin(lookup(signed, table.select("key", "root"), "key", row_id="row").select("doc_id", "row", "root"))
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = pin(found.groupBy("root").agg(F.min(rank)["row"].alias("_first")))
+    # equal rows are in one class, so a row key stays or goes as a whole
+    losers = lookup(found, first, "root", row_id="row").where("row <> _first").select(F.col("row").alias("_row"))
+    losers = pin(losers.distinct())
+    keyed = docs.withColumn("_row", row_key())
+    kept = keyed.join(F.broadcast(losers) if fits_broadcast(losers) else losers, "_row", "left_anti")
+    twice = pin(found.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_row"))
+    if not twice.isEmpty():
+        kept = kept.join(twice, "_row", "left_anti").unionByName(
+            kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
+        )
+    return kept.select(*docs.columns)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import map_pandas, whole_text, words_of
+from rillflow.llm.common import map_pandas, row_key, whole_text, words_of
 from rillflow.operators.joins import lookup
 from rillflow.operators.keys import dense_numbers
 from rillflow.session import pin, reducers
@@ -150,10 +150,21 @@ def mix(
     text: str = "text", source: str = "source", doc_id: str = "doc_id",
 ) -> DataFrame:
     """``doc_id, size, source_size, target, rate, copies, taken`` for each row of ``docs``."""
+    done = dealt(docs, weights, share, cap, text, source, F.col(f"`{doc_id}`").alias("doc_id"), "long")
+    return done.select(
+        "doc_id", "size", "source_size", "target", "rate", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+def dealt(
+    docs: DataFrame, weights, share: float, cap: int, text: str, source: str, name: Column, kind: str
+) -> DataFrame:
+    """The mix of each row of ``docs``; ``name``, of type ``kind``, is carried along as ``doc_id``."""
     spark = docs.sparkSession
     sizes = pin(
         docs.select(
-            F.col(f"`{doc_id}`").alias("doc_id"),
+            name,
             source_key(f"`{source}`").alias("_key"),
             F.size(words_of(whole_text(f"`{text}`"))).cast("long").alias("size"),
         )
@@ -173,16 +184,36 @@ def mix(
         .repartition(reducers(spark), "chunk")
         .sortWithinPartitions("chunk", F.desc("size"), "doc_id")
     )
-    schema = "doc_id long, size long, source_size long, target double, rate double, chunk string, copies long"
-    return map_pandas(rows, lambda b: to_copies(b, cap), schema).select(
-        "doc_id", "size", "source_size", "target", "rate", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
-    )
+    schema = f"doc_id {kind}, size long, source_size long, target double, rate double, chunk string, copies long"
+    return map_pandas(rows, lambda b: to_copies(b, cap), schema)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """``_n``: a place from 0 on among the rows of one ``_row``, without a task for each key."""
+    placed = pin(rows.withColumn("_at", F.monotonically_increasing_id()))
+    dense = pin(dense_numbers(placed, ["_row", "_at"], "_n", start=0))
+    least = dense.groupBy("_row").agg(F.min("_n").alias("_least"))
+    return lookup(dense, least, "_row", row_id="_at").withColumn("_n", F.col("_n") - F.col("_least")).drop("_at", "_least")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it (rows of one id alike)."""
-    taken = pin(mix(docs, weights, share, cap).groupBy("doc_id").agg(F.max("copies").alias("_copies")))
-    known = lookup(docs, taken.where("doc_id is not null"), "doc_id", row_id="doc_id")
-    times = F.array_repeat(F.lit(1), F.coalesce("_copies", F.lit(1)).cast("int"))
+    """The rows of ``docs``, each as many times as the mix takes it.
+
+    Rows are told apart by id, text and source; equal rows that are taken differently often, by
+    their place among each other.
+    """
+    keyed = docs.withColumn("_row", row_key(source="source"))
+    name = row_key(source="source").alias("doc_id")
+    taken = pin(
+        dealt(docs, weights, share, cap, "text", "source", name, "string").select(F.col("doc_id").alias("_row"), "copies")
+    )
+    alike = pin(taken.groupBy("_row").agg(F.min("copies").alias("_copies"), F.max("copies").alias("_most")))
+    once = alike.where("_copies = _most").drop("_most")
+    known = lookup(keyed, once, "_row", "inner", row_id="_row").drop("_row")
+    uneven = alike.where("_copies < _most").select("_row")
+    if not uneven.isEmpty():
+        own = numbered(keyed.join(uneven, "_row", "left_semi"))
+        theirs = numbered(taken.join(uneven, "_row", "left_semi")).withColumnRenamed("copies", "_copies")
+        known = known.unionByName(own.join(theirs, ["_row", "_n"]).drop("_row", "_n"))
+    times = F.array_repeat(F.lit(1), F.col("_copies").cast("int"))
     return known.withColumn("_copy", F.explode(times)).select(*docs.columns)
