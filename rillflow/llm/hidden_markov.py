@@ -13,9 +13,10 @@ large as the vocabulary.  That table is never in one place:
   ``gather``, with numpy inside the tasks and Spark's shuffles between them.
 * ``score`` runs the scaled forward recursion over all texts.
 
-The first split of the counts among the states comes from Baum-Welch on a sample of at most
-``SAMPLE_DOCS`` training documents (a documented bound); counts, vocabulary and the steps after it
-cover the whole corpus.  A word occurs once per block in its lane, so frequent words are no hot keys.
+Each word's count is first split among the states by the word's hash, without a look at the data.
+Steps over the whole corpus follow until the log-likelihood of the training texts, summed up over
+all blocks, rises by no more than ``RISE`` of itself twice in a row.  A word occurs once per block in
+its lane, so frequent words are no hot keys.
 
 Null text counts as empty (the end token alone).  Repeated rows are scored each; a null id counts
 as the empty text for the split.  Without training texts all counts are 0.
@@ -36,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.common import blank_split, bucket_of_id, map_arrow, ship, whole_text
-from rillflow.session import pin, reducers
+from rillflow.session import pin, reducers, unpin
 
 STATES = 4
-STEPS = 1
+#: Training ends after two steps in a row that raise the log-likelihood by no more than this share.
+RISE = 1e-4
 BLOCK_TOKENS = 2_000_000
-SAMPLE_DOCS, SAMPLE_STEPS = 1_500, 15
 SMOOTH = 0.5
 
 PACK = (
@@ -219,76 +220,28 @@ def normal(x: np.ndarray) -> np.ndarray:
     return x / x.sum(-1, keepdims=True)
 
 
-# the sample ----------------------------------------------------------------------------------
-def first_split(rows: DataFrame, lanes: int, states: int) -> DataFrame:
-    """Baum-Welch on a bounded sample: the words' expected counts by lane, and lane -1: parameters."""
-    sample = (
-        rows.where("train").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS).coalesce(1)
-    )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Block()
-        for batch in batches:
-            block.add(batch)
-        start, move = np.full(states, 1 / states), normal(np.eye(states) * 20 + 1)
-        out = []
-        if block.ids:
-            tokens, lengths, _, vocabulary = block.coded()
-            counts = np.bincount(tokens, minlength=len(vocabulary)).astype(float)
-            rng = np.random.default_rng(1)
-            share = counts[:, None] * rng.dirichlet(np.full(states, 2.0), len(vocabulary))
-            for _ in range(SAMPLE_STEPS):
-                table = emissions(share, share.sum(0), len(vocabulary))
-                share, starts, moves, _ = expected(tokens, lengths, len(vocabulary), table, start, move)
-                start, move = normal(starts), normal(moves)
-            lane = lanes_of(vocabulary, lanes)
-            order = np.argsort(lane, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(lane[order])) + 1):
-                out.append((int(lane[part[0]]), "\n".join([vocabulary[i] for i in part]),
-                            share[part].astype("<f4").tobytes(), None))
-            total = share.sum(0) / share.sum()
-        else:
-            total = np.full(states, 1 / states)
-        out.append((-1, None, None, [*start, *move.ravel(), *total]))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.string(), pa.binary(), pa.list_(pa.float64())))],
-            names=["lane", "words", "share", "sums"],
-        )
-
-    return map_arrow(sample, run, "lane int, words string, share binary, sums array<double>")
+# one lane of all blocks ------------------------------------------------------------------------
+def hashed_split(words: list[str], states: int) -> np.ndarray:
+    """How each word's count is split among the states at first; depends on the word alone."""
+    x = np.array([[xxhash.xxh32_intdigest(w, k + 1) for k in range(states)] for w in words], float)
+    x = -np.log((x.reshape(-1, states) + 0.5) / 2**32)
+    return x / x.sum(1, keepdims=True)
 
 
-# one lane of all blocks ------------------------------------------------------------------------
-def first_gather(packs: DataFrame, seed: DataFrame, states: int, prior: np.ndarray) -> DataFrame:
+def first_gather(packs: DataFrame, states: int) -> DataFrame:
     """Counts over the corpus, and their first split by state, for each block's words of a lane."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        seeded = group["words"].notna() & group["block"].isna()
-        blocks = group[~seeded]
-        parts = [w.split("\n") for w in blocks["words"]]
-        known = [w.split("\n") for w in group.loc[seeded, "words"]]
+        parts = [w.split("\n") for w in group["words"]]
         sizes = [len(p) for p in parts]
-        flat = pa.array([w for p in [*parts, *known] for w in p], pa.string()).dictionary_encode()
+        flat = pa.array([w for p in parts for w in p], pa.string()).dictionary_encode()
         place = flat.indices.to_numpy()
-        n = len(flat.dictionary)
-        of_blocks = place[: sum(sizes)]
-        each = np.concatenate([stretch(c) for c in blocks["counts"]] or [np.zeros(0, np.int32)])
-        counts = np.bincount(of_blocks, each, n)
-        split = np.tile(prior, (n, 1))
-        if known:
-            share = np.concatenate([np.frombuffer(s, "<f4") for s in group.loc[seeded, "share"]])
-            share = share.reshape(-1, states) + 1e-2 * prior
-            split[place[sum(sizes) :]] = share / share.sum(1, keepdims=True)
-        return returned(group["lane"].iloc[0], blocks, np.split(of_blocks, np.cumsum(sizes)[:-1]), counts, counts[:, None] * split)
-
-    words = packs.where("lane >= 0").select(
-        "lane", "block", "words", "ids", "counts", F.lit(None).cast("binary").alias("share")
-    )
-    seeds = seed.where("lane >= 0").select(
-        "lane", F.lit(None).cast("string").alias("block"), "words",
-        F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("counts"), "share",
-    )
-    return words.unionByName(seeds).groupBy("lane").applyInPandas(run, LANE)
+        counts = np.bincount(place, np.concatenate([stretch(c) for c in group["counts"]]), len(flat.dictionary))
+        split = hashed_split(flat.dictionary.to_pylist(), states)
+        return returned(group["lane"].iloc[0], group, np.split(place, np.cumsum(sizes)[:-1]), counts, counts[:, None] * split)
+
+    words = packs.where("lane >= 0").select("lane", "block", "words", "ids", "counts")
+    return words.groupBy("lane").applyInPandas(run, LANE)
 
 
 def returned(lane, blocks: pd.DataFrame, places: list, counts: np.ndarray, share: np.ndarray) -> pd.DataFrame:
@@ -346,7 +299,7 @@ def expect(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) -
     def run(pack: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         _, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
         mine = np.repeat(train, lengths)
-        share, starts, moves, _ = expected(tokens[mine], lengths[train], len(counts), table, start, move)
+        share, starts, moves, scale = expected(tokens[mine], lengths[train], len(counts), table, start, move)
         own = np.bincount(tokens[mine], minlength=len(counts))
         out = []
         for lane, block, ids, place in zip(
@@ -354,7 +307,7 @@ def expect(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) -
         ):
             at = stretch(ids)
             out.append((lane, block, ids, place, squeeze(own[at]), pack_share(share[at]), None))
-        out.append((-1, None, None, None, None, None, [*starts, *moves.ravel()]))
+        out.append((-1, None, None, None, None, None, [*starts, *moves.ravel(), np.log(scale).sum()]))
         return pd.DataFrame(out, columns=[f.split(" ")[0] for f in LANE.split(", ")])
 
     return with_words(packs, lanes).applyInPandas(run, LANE)
@@ -393,31 +346,36 @@ def score(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) ->
 
 
 def fit_and_score(
-    docs: DataFrame, states: int = STATES, steps: int = STEPS, text: str = "text", doc_id: str = "doc_id"
+    docs: DataFrame, states: int = STATES, rise: float = RISE, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """Trains on the texts whose id's crc32 modulo 5 is not 1 and scores all texts."""
-    spark = docs.sparkSession
-    ship(spark)
-    lanes = reducers(spark)
+    ship(docs.sparkSession)
     rows = docs.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
         whole_text(f"`{text}`").alias("text"),
         (bucket_of_id(f"`{doc_id}`", 5) != 1).alias("train"),
     )
-    packs = pin(encode(rows, lanes))
-    seed = pin(first_split(rows, lanes, states))
-    first = seed.where("lane = -1").select("sums").first()
-    numbers = np.array(first[0]) if first else np.concatenate(
-        [np.full(states, 1 / states), normal(np.eye(states)).ravel(), np.full(states, 1 / states)]
-    )
-    start, move = numbers[:states], numbers[states : states + states**2].reshape(states, states)
-    table = pin(first_gather(packs, seed, states, numbers[-states:]))
-    for _ in range(steps):
+    packs = pin(encode(rows, reducers(docs.sparkSession)))
+    table, start, move, _ = trained(packs, states, rise)
+    return score(packs, table, totals(table, states), start, move, states)
+
+
+def trained(packs: DataFrame, states: int, rise: float):
+    """The words' table, starts and moves, and the training log-likelihood before each step."""
+    start, move = np.full(states, 1 / states), normal(np.eye(states) * 20 + 1)
+    table = pin(first_gather(packs, states))
+    seen: list[float] = []
+    flat = 0
+    while flat < 2:
         found = pin(expect(packs, table, totals(table, states), start, move, states))
         at = found.where("lane = -1").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col"))
-        got = dict(map(tuple, at.collect()))  # a few numbers: starts and moves
-        if got:
-            values = np.array([got[i] for i in range(states + states**2)])
-            start, move = normal(values[:states]), normal(values[states:].reshape(states, states))
-        table = pin(gather(found, states))
-    return score(packs, table, totals(table, states), start, move, states)
+        got = dict(map(tuple, at.collect()))  # a few numbers: starts, moves and the log-likelihood
+        if not got:
+            break
+        values = np.array([got[i] for i in range(states + states**2 + 1)])
+        start, move = normal(values[:states]), normal(values[states:-1].reshape(states, states))
+        before, table = table, pin(gather(found, states))
+        unpin(before, found)
+        flat = flat + 1 if seen and values[-1] - seen[-1] <= rise * abs(seen[-1]) else 0
+        seen.append(float(values[-1]))
+    return table, start, move, seen

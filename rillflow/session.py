@@ -59,7 +59,21 @@ def pin(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = fresh_folder(spark, "pinned")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._pinned = path
+    return out
+
+
+def unpin(*tables: DataFrame) -> None:
+    """Deletes tables that ``pin`` wrote and nothing reads any more, as a loop needs it.
+
+    Shuffle files of the plans that are gone follow once the JVM has collected its garbage.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._pinned)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark._jvm.System.gc()
 
 
 def reducers(spark: SparkSession) -> int:
