@@ -1,10 +1,10 @@
-"""N-gram Jaccard join with an LSH forest of MinHash signatures and exact verification.
+"""N-gram Jaccard join with banded MinHash signatures and exact verification.
 
 1.  Each text becomes the set of the 64-bit hashes of its word 5-grams (all its words, if fewer).
     Texts with one set are one class, so thousands of copies are one member from here on.
-2.  Each of ``TREES`` prefix tries orders the classes by ``LONGEST`` MinHash values.  A pair at the
-    threshold agrees on a prefix of depth d in one tree with probability ``s**d``; prefixes are
-    shortened from the longest on until the tries together reach the target recall for it.
+2.  Each of ``TREES`` bands has ``LONGEST`` MinHash values, of which the first d are its key.  A pair
+    at the threshold agrees on d values of one band with probability ``s**d``; d is chosen before any
+    data is seen, the largest at which the bands together reach the target recall.  There is no trie.
 3.  Classes whose prefixes are alike meet.  A large group is cut into blocks, and pairs of blocks
     meet in tasks of their own: no task holds more than two blocks, however hot the group is.
     Inside a task members are sorted by their longer prefixes.  A pair is verified exactly, once: in
