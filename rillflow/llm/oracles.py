@@ -83,7 +83,91 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM measured
 """
 
+OP11 = r"""
+WITH table_of AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS t
+), docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), target AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), own AS (
+  SELECT row, f, count(*) AS n FROM (
+    SELECT row, unnest(w) AS f FROM docs UNION ALL
+    SELECT row, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM docs) GROUP BY ALL
+), wanted AS (
+  SELECT f, count(*) AS n FROM (
+    SELECT unnest(w) AS f FROM target UNION ALL
+    SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM target) GROUP BY ALL
+), hexed AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM own UNION SELECT f FROM wanted)
+), placed AS (
+  SELECT f, xor(4294967295, list_reduce(list_prepend(4294967295,
+      list_transform(range(1, len(h), 2), lambda i: CAST('0x' || h[i:i + 1] AS BIGINT))),
+      lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8))) % 10000 AS bucket
+  FROM hexed, table_of
+), s AS (SELECT bucket, sum(n) AS s FROM own JOIN placed USING (f) GROUP BY bucket
+), t AS (SELECT bucket, sum(n) AS t FROM wanted JOIN placed USING (f) GROUP BY bucket
+), gains AS (
+  SELECT b AS bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) r(b) LEFT JOIN s ON s.bucket = b LEFT JOIN t ON t.bucket = b
+), sums AS (
+  SELECT row, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS HUGEINT) AS total
+  FROM own JOIN placed USING (f) JOIN gains USING (bucket) GROUP BY row
+), scored AS (
+  SELECT doc_id, len(w) AS words, coalesce(n_features, 0) AS n_features,
+    CAST(CASE WHEN n_features IS NULL THEN 0
+      ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS BIGINT) AS weight,
+    CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null'))[1:8] AS BIGINT) + 0.5)
+      / 4294967296))) AS BIGINT) AS noise
+  FROM docs LEFT JOIN sums USING (row)
+), numbered AS (
+  SELECT *, weight + noise AS score, row_number() OVER (ORDER BY words < 20, weight + noise DESC, doc_id) AS r,
+    (count(*) FILTER (WHERE words >= 20) OVER ()) * 25 // 100 AS k FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= k THEN r END AS rank FROM numbered
+"""
+
+OP12 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents
+), seen AS (SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(w) AS term FROM texts) GROUP BY ALL
+), kept AS (SELECT lang, term, sum(n) AS n FROM seen GROUP BY ALL HAVING count(*) >= 3
+), v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), counts AS (SELECT s.lang, source, term, sum(s.n) AS n FROM seen s JOIN kept USING (lang, term) GROUP BY ALL
+), totals AS (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL
+), groups AS (
+  SELECT g.lang, g.source, coalesce(t.total, 0) AS total, coalesce(v, 0) AS v, coalesce(v.total, 0) AS all_total
+  FROM (SELECT DISTINCT lang, source FROM texts) g LEFT JOIN totals t USING (lang, source) LEFT JOIN v ON v.lang = g.lang
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + g.v) AS p,
+    1 + (1000000000::HUGEINT * (k.n + 1)) // (g.all_total + g.v) AS q
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), items AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM items)
+WHERE part = 'pair' OR r <= 200
+"""
+
 ORACLES = {
+    "op11_importance_resampling": OP11,
+    "op12_source_divergence": OP12,
     "op6_chat_format": OP6,
     "op8_quality_rules": OP8,
 }

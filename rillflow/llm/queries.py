@@ -11,10 +11,13 @@ from rillflow.llm import (
     compression_classifier,
     decontaminate,
     hidden_markov,
+    importance_resampling,
     jaccard_join,
     license_scan,
     mixing,
     quality_rules,
+    simhash_pigeonring,
+    source_divergence,
     token_files,
     toxicity,
 )
@@ -98,6 +101,20 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_pigeonring.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -111,5 +128,8 @@ QUERIES = {
         op8_quality_rules,
         op9_toxicity,
         op10_quality_classifier,
+        op11_importance_resampling,
+        op12_source_divergence,
+        op13_simhash_pigeonring,
     )
 }
