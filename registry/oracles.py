@@ -97,6 +97,14 @@ STEPS: dict[str, str] = {
         SELECT l.*, u.user_name, u.email, p.product_name, p.category, p.price
         FROM logs_ok l LEFT JOIN users_ok u ON l.user_id = u.user_id
           LEFT JOIN products_ok p ON l.product_id = p.product_id""",
+    "log_arrivals": """
+        SELECT *, least(2, row_index * 3 // (SELECT count(*) FROM raw_weblogs)) AS arrival FROM logs_ok""",
+    "arrival_marks": """
+        SELECT a.arrival, (SELECT max(b.action_ts) FROM log_arrivals b WHERE b.arrival < a.arrival)
+          - INTERVAL 1 DAY AS mark FROM (SELECT DISTINCT arrival FROM log_arrivals) a""",
+    "logs_in_time": """
+        SELECT log_arrivals.* FROM log_arrivals JOIN arrival_marks USING (arrival)
+        WHERE action_ts >= mark OR mark IS NULL""",
     "session_sums": """
         SELECT session_id, min(action_ts) AS session_start, max(action_ts) AS session_end,
           (epoch_us(max(action_ts)) - epoch_us(min(action_ts))) / 1000000.0 AS secs,
@@ -213,6 +221,18 @@ _SESSION_COLUMNS = """session_id, session_start, session_end, session_duration_s
     total_cart_adds, total_purchases, total_actions, conversion_rate, is_abandoned_cart,
     is_high_activity"""
 
+# A log belongs to the session of the one before it unless more than a day lies between them.
+_WINDOWS = """
+        SELECT session_id, min(action_ts) AS session_start, max(action_ts) AS session_end,
+          count(*) FILTER (act = 'view') AS total_views,
+          count(*) FILTER (act = 'add_to_cart') AS total_cart_adds,
+          count(*) FILTER (act = 'purchase') AS total_purchases, count(*) AS total_rows
+        FROM (SELECT *, sum(starts) OVER (PARTITION BY session_id ORDER BY action_ts, row_index) AS part
+          FROM (SELECT *, CASE WHEN action_ts <= lag(action_ts) OVER
+              (PARTITION BY session_id ORDER BY action_ts, row_index) + INTERVAL 1 DAY
+              THEN 0 ELSE 1 END AS starts FROM {}))
+        GROUP BY session_id, part"""
+
 _RULE = "SELECT '{0}' AS rule, {1} AS observed, {2} AS threshold, {1} > {2} AS triggered"
 _ANOMALY = "(SELECT CAST(n AS DOUBLE) FROM anomalies WHERE name = '{0}')"
 _RATE = """(SELECT round(count(*) * 1.0 / (SELECT sum(n) FROM extracted), 6) FROM reasons
@@ -439,17 +459,13 @@ _BODIES: dict[str, str] = {
     "layer_inventory": """SELECT 'users' AS source, count(*) AS "rows" FROM users_ok
         UNION ALL SELECT 'products', count(*) FROM products_ok""",
     "stream_weblogs_classified": "SELECT row_index, rejection_reason FROM logs_judged",
-    "stream_session_windows": """
-        SELECT session_id, min(action_ts) AS session_start, max(action_ts) AS session_end,
-          count(*) FILTER (act = 'view') AS total_views,
-          count(*) FILTER (act = 'add_to_cart') AS total_cart_adds,
-          count(*) FILTER (act = 'purchase') AS total_purchases, count(*) AS total_rows
-        FROM (SELECT *, sum(starts) OVER (PARTITION BY session_id ORDER BY action_ts, row_index) AS part
-          FROM (SELECT *, CASE WHEN action_ts < lag(action_ts) OVER
-              (PARTITION BY session_id ORDER BY action_ts, row_index) + INTERVAL 1 DAY
-              THEN 0 ELSE 1 END AS starts FROM logs_ok))
-        GROUP BY session_id, part
-        HAVING max(action_ts) + INTERVAL 2 DAY <= (SELECT max(action_ts) FROM logs_ok)""",
+    "stream_session_windows": _WINDOWS.format("logs_ok"),
+    "stream_late_logs": """SELECT log_id, row_index, session_id, action_ts, arrival AS batch
+        FROM log_arrivals JOIN arrival_marks USING (arrival) WHERE action_ts < mark""",
+    "stream_sessions_in_time": f"""SELECT *, CASE WHEN session_end + INTERVAL 1 DAY <
+          (SELECT max(action_ts) FROM logs_ok) - INTERVAL 1 DAY THEN 'closed' ELSE 'open' END AS state
+        FROM ({_WINDOWS.format("logs_in_time")})""",
+    "stream_sessions_reconciled": _WINDOWS.format("logs_ok"),
 }
 
 ORACLES: dict[str, str] = {name: _complete(body) for name, body in _BODIES.items()}

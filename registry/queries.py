@@ -634,7 +634,39 @@ def stream_weblogs_classified(f: Frames) -> DataFrame:
 
 @query
 def stream_session_windows(f: Frames) -> DataFrame:
-    """Session totals from a stream of Silver logs, closed by event time."""
+    """Session totals from a stream of Silver logs that come at once: closed and open ones."""
     folder = fresh_folder(f.spark, "stream")
     f.silver.write.parquet(f"{folder}/silver")
     return stream_sessions.run_available(f.spark, f"{folder}/silver", f"{folder}/out")
+
+
+def _three_arrivals(f: Frames) -> stream_sessions.SessionStream:
+    """The Silver logs in three arrivals in the order of their ids, which is not that of their times."""
+    folder = fresh_folder(f.spark, "stream")
+    stream = stream_sessions.SessionStream(f.spark, f"{folder}/out")
+    n = f.raw("weblogs").count()
+    logs = f.silver.withColumn("arrival", F.least(F.lit(2), F.expr(f"row_index * 3 div {n}")))
+    logs.write.partitionBy("arrival").parquet(f"{folder}/silver")
+    for i in range(3):
+        stream.run_available(f"{folder}/silver/arrival=[0-{i}]")
+    return stream
+
+
+@query
+def stream_late_logs(f: Frames) -> DataFrame:
+    """Logs behind the watermark when they came, with the batch that brought them."""
+    return _three_arrivals(f).late().select("log_id", "row_index", "session_id", "action_ts", "batch")
+
+
+@query
+def stream_sessions_in_time(f: Frames) -> DataFrame:
+    """Sessions of the logs that came in time, and whether they can still grow."""
+    stream = _three_arrivals(f)
+    states = [getattr(stream, s)().withColumn("state", F.lit(s)) for s in ("closed", "open")]
+    return states[0].unionByName(states[1])
+
+
+@query
+def stream_sessions_reconciled(f: Frames) -> DataFrame:
+    """Late logs merged in afterwards: the sessions of all logs."""
+    return _three_arrivals(f).reconciled()

@@ -70,10 +70,14 @@ def unpin(*tables: DataFrame) -> None:
     Shuffle files of the plans that are gone follow once the JVM has collected its garbage.
     """
     for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._pinned)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-        spark._jvm.System.gc()
+        remove(df.sparkSession, df._pinned)
+        df.sparkSession._jvm.System.gc()
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder in any file system that Spark can write to; none there is fine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def reducers(spark: SparkSession) -> int:
