@@ -438,6 +438,22 @@ _BODIES: dict[str, str] = {
     "bulk_load_by_name": """SELECT 'good' AS kind, count(*) FILTER (signup_text <> 'invalid_date')
         AS "rows" FROM raw_users UNION ALL SELECT 'bad', count(*) FILTER
         (signup_text = 'invalid_date') FROM raw_users""",
+    "csv_mixed_headers": """SELECT CAST(log_id AS VARCHAR) AS log_id, CAST(user_id AS VARCHAR) AS user_id,
+        CAST(product_id AS VARCHAR) AS product_id, session_id, action, ts_text AS "timestamp"
+        FROM raw_weblogs""",
+    "csv_multiline_cells": """SELECT row_number() OVER (ORDER BY row_index) - 1 AS row_index,
+        CAST(product_id AS VARCHAR) AS product_id,
+        CASE product_id % 4 WHEN 0 THEN product_name || chr(10) || 'second, "line"'
+          WHEN 1 THEN '"' || product_name || '"' ELSE product_name END AS product_name, category
+        FROM raw_products""",
+    "bulk_load_rows": """SELECT user_id, user_name, email, CAST(signup_text AS DATE) AS signup_date
+        FROM raw_users WHERE user_id % 50 NOT IN (7, 8) AND signup_text <> 'invalid_date'""",
+    "bulk_load_rejects": """SELECT CASE WHEN user_id % 50 IN (7, 8) THEN 'width' ELSE 'value' END AS reason,
+          CASE user_id % 50 WHEN 7 THEN concat_ws(',', user_id, coalesce(user_name, ''), coalesce(email, ''))
+            WHEN 8 THEN concat_ws(',', user_id, coalesce(user_name, ''), coalesce(email, ''), signup_text, 'one more')
+            ELSE '{"user_id":"' || user_id || '","user_name":' || coalesce('"' || user_name || '"', 'null')
+              || ',"email":' || coalesce('"' || email || '"', 'null') || ',"signup_date":"invalid_date"}' END AS raw_row
+        FROM raw_users WHERE user_id IS NOT NULL AND (user_id % 50 IN (7, 8) OR signup_text = 'invalid_date')""",
     "staged_scan_typed": "SELECT product_id, product_name, price FROM raw_products",
     "full_run_report": """
         SELECT 'row_counts' AS section, source AS item, 'extracted' AS sub_item,

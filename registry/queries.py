@@ -14,7 +14,7 @@ from rillflow.plans import bi, checks, gold, pipeline, report, silver
 from rillflow.schemas import BRONZE, DIM_PRODUCT, DIM_USER, RAW_COLUMNS, table
 from rillflow.session import fresh_folder, pin
 from rillflow.sources.lake import Lake
-from rillflow.sources.tables import CSV_OPTIONS, land, load_by_name, project, scan
+from rillflow.sources.tables import CSV_OPTIONS, land, load_by_name, typed_scan
 from rillflow.streaming import ingest as stream_ingest
 from rillflow.streaming import sessions as stream_sessions
 
@@ -572,12 +572,81 @@ def bulk_load_by_name(f: Frames) -> DataFrame:
     return report.combine(named)
 
 
+@query
+def csv_mixed_headers(f: Frames) -> DataFrame:
+    """Logs in files of three headers: other orders, further columns, one name twice."""
+    folder = fresh_folder(f.spark, "csv")
+    raw = f.raw("weblogs")
+    more = raw.withColumns({"extra": F.lit("x, y"), "note": F.col("action")})
+    orders = {
+        "a": RAW_COLUMNS["weblogs"],
+        "b": ["timestamp", "extra", "action", "user_id", "log_id", "session_id", "product_id"],
+        "c": ["note", "session_id", "log_id", "extra", "product_id", "timestamp", "user_id", "action", "note"],
+    }
+    for k, (name, columns) in enumerate(orders.items()):
+        part = more.where(F.col("row_index") % 3 == k).orderBy("row_index")
+        cells = part.select(*[F.col(c).alias(f"_{n}") for n, c in enumerate(columns)])
+        _write_with_header(cells, columns, f"{folder}/{name}")
+    rows, _ = land(f.spark, [f"{folder}/{name}" for name in orders], RAW_COLUMNS["weblogs"])
+    return rows.drop("row_index")
+
+
+def _write_with_header(cells: DataFrame, header: list[str], folder: str) -> None:
+    """CSV files with the given header, whose names need not differ."""
+    names = F.lit(",".join(header))
+    line = F.to_csv(F.struct(*cells.columns), {k: v for k, v in CSV_OPTIONS.items() if k != "header"})
+    # one file per task; its first row brings the header along
+    at = F.monotonically_increasing_id()
+    first = F.pmod(at, F.lit(1 << 33)) == 0
+    lines = cells.select(F.when(first, F.concat(names, F.lit("\n"), line)).otherwise(line).alias("line"))
+    lines.write.text(folder)
+
+
+@query
+def csv_multiline_cells(f: Frames) -> DataFrame:
+    """Products whose names hold line breaks, quotes and commas."""
+    folder = fresh_folder(f.spark, "csv")
+    name = F.expr(
+        """CASE product_id % 4 WHEN 0 THEN concat(product_name, '\n', 'second, "line"')
+           WHEN 1 THEN concat('"', product_name, '"') ELSE product_name END"""
+    )
+    rows = f.raw("products").withColumn("product_name", name).orderBy("row_index")
+    rows.select(*RAW_COLUMNS["products"]).write.options(**CSV_OPTIONS).csv(folder)
+    landed, _ = land(f.spark, folder, RAW_COLUMNS["products"])
+    return landed.select("row_index", "product_id", "product_name", "category")
+
+
+def _broken_users(f: Frames) -> tuple[DataFrame, DataFrame]:
+    """Users loaded by name; some rows have a cell too few, some one too many."""
+    folder = fresh_folder(f.spark, "csv")
+    cells = f.raw("users").where("user_id IS NOT NULL").orderBy("row_index")
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in RAW_COLUMNS["users"]])
+    id_ = F.col("user_id").cast("long")
+    line = F.when(id_ % 50 == 7, F.regexp_replace(line, ",[^,]*$", "")).when(
+        id_ % 50 == 8, F.concat(line, F.lit(",one more"))
+    ).otherwise(line)
+    header = F.lit("USER_ID,User_Name,email,signup_date\n")
+    first = F.pmod(F.monotonically_increasing_id(), F.lit(1 << 33)) == 0
+    cells.select(F.when(first, F.concat(header, line)).otherwise(line).alias("line")).write.text(folder)
+    return load_by_name(f.spark, [folder], table("user_id long, user_name string, email string, signup_date date"))
+
+
+@query
+def bulk_load_rows(f: Frames) -> DataFrame:
+    return _broken_users(f)[0]
+
+
+@query
+def bulk_load_rejects(f: Frames) -> DataFrame:
+    return _broken_users(f)[1]
+
+
 @query
 def staged_scan_typed(f: Frames) -> DataFrame:
     """Staged files by name pattern, columns by name with their types."""
     path = _write_csv(f, fresh_folder(f.spark, "csv"), "products")
     wanted = table("product_id long, product_name string, price double")
-    return project(scan(f.spark, path, pattern="*.csv"), wanted)
+    return typed_scan(f.spark, path, wanted, pattern="*.csv")
 
 
 def whole_run_inputs(spark: SparkSession, sf_dir: str) -> tuple[Lake, dict[str, str]]:

@@ -4,23 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.functions.scalars import blank_na, to_double, to_id, parse_timestamp
-from rillflow.operators.joins import lookup
 from rillflow.operators.quality import require_columns
 from rillflow.session import fresh_folder
-
-# Quotes are doubled inside quoted cells, and outer blanks belong to the text.
-CSV_OPTIONS = {
-    "header": "true",
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
+from rillflow.sources.csvfiles import CSV_OPTIONS, land_csv
+from rillflow.sources.positions import number_rows, stage, with_block
 
 
 def scan(
@@ -31,7 +23,11 @@ def scan(
     schema: T.StructType | None = None,
     pattern: str | None = None,
 ) -> DataFrame:
-    """Files of a folder, optionally only those whose name fits ``pattern``."""
+    """Files of a folder, optionally only those whose name fits ``pattern``.
+
+    CSV files are taken to have one header all; ``land``, ``typed_scan`` and ``load_by_name`` read
+    each file by its own.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.options(**CSV_OPTIONS)
@@ -67,59 +63,32 @@ def land(
     *,
     fmt: str = "csv",
     staging: str | None = None,
+    start: int = 0,
 ) -> tuple[DataFrame, int]:
     """Raw source as text columns plus ``row_index``, and the number of its rows.
 
-    ``row_index`` is the dense position over all files of the source.
-
-    The text is parsed once and written as Parquet, so that later passes read single columns.
-    Numbering then needs one row count per file block; blocks are ordered by path and offset.
+    ``row_index`` is the dense position over all files of the source.  The text is parsed once and
+    written as Parquet, so that later passes read single columns.  CSV columns are found by each
+    file's own header; cells beyond it are dropped, and those that a row does not have are NULL.
     """
+    folder = staging or fresh_folder(spark, "landing")
+    if fmt == "csv":
+        landed = land_csv(spark, path, columns, folder, start=start)
+        if landed.missing:
+            raise ValueError(f"Missing required columns: {list(landed.missing)}")
+        return landed.text(columns), landed.n
     source = scan(spark, path, fmt=fmt)
     require_columns(source, columns)
-    staged = staging or fresh_folder(spark, "landing")
-    n = stage(with_position(source, columns), staged)
-    return number_rows(spark.read.parquet(staged), columns), n
-
-
-def with_position(source: DataFrame, columns: list[str]) -> DataFrame:
-    """Text columns of a file scan with the file and block each row comes from."""
-    return source.select(
-        *[F.col(c).cast("string").alias(c) for c in columns],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-
-
-def stage(rows: DataFrame, path: str) -> int:
-    """Write rows with their place inside the task, which is fixed from then on; returns their number."""
-    seen = Observation()
-    rows = rows.withColumn("_at", F.monotonically_increasing_id())
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("overwrite").parquet(path)
-    return int(seen.get["rows"])
+    n = stage(with_block(source, *[F.col(c).cast("string").alias(c) for c in columns]), folder)
+    return blank_na(number_rows(spark.read.parquet(folder), columns, start)), n
 
 
-def number_rows(rows: DataFrame, columns: list[str], start: int = 0) -> DataFrame:
-    """Staged rows with ``row_index`` from ``start`` on, blocks in order of path and offset."""
-    blocks = rows.groupBy("_file", "_block").agg(
-        F.count(F.lit(1)).alias("_rows"), F.min("_at").alias("_base")
-    )
-    # One row per file block, so this window stays small.
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.select(
-        _block_key().alias("_key"),
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_base") + start).alias("_shift"),
-    )
-    keyed = rows.withColumn("_key", _block_key())
-    numbered = lookup(keyed, blocks, "_key", row_id="_at").withColumn(
-        "row_index", F.col("_at") + F.col("_shift")
-    )
-    return blank_na(numbered.select("row_index", *columns))
-
-
-def _block_key():
-    return F.concat_ws("#", "_block", "_file")
+def typed_scan(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, *, pattern: str | None = None
+) -> DataFrame:
+    """CSV files of a folder, those whose name fits ``pattern``: columns by name, with their types."""
+    landed = land_csv(spark, path, schema.names, fresh_folder(spark, "landing"), pattern=pattern)
+    return project(landed.text(schema.names), schema)
 
 
 def load_by_name(
@@ -127,30 +96,36 @@ def load_by_name(
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: columns matched by lower-cased name, absent ones NULL, extra ones dropped.
 
-    A row with a value that cannot take its column's type is bad; it is kept as JSON text.
+    A row is bad if a value cannot take its column's type (``reason`` ``value``, ``raw_row`` its
+    named cells as a JSON object), or if it has another number of cells than its file's header
+    (``width``, ``raw_row`` its line).
     """
-    frames = []
-    for path in paths:
-        df = scan(spark, path, fmt=fmt)
-        df = df.toDF(*[c.lower() for c in df.columns])
-        wanted = [f.name for f in schema.fields if f.name in df.columns]
-        frames.append(df.select(*[F.col(c).cast("string").alias(c) for c in wanted]))
-    text = blank_na(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames))
-    for field in schema.fields:
-        if field.name not in text.columns:
-            text = text.withColumn(field.name, F.lit(None).cast("string"))
+    names = schema.names
+    if fmt == "csv":
+        landed = land_csv(spark, paths, names, fresh_folder(spark, "landing"), any_case=True)
+        broken = landed.wrong_width()
+        text = landed.rows.select(*names, broken.alias("_broken"), F.when(broken, F.col("_record")).alias("_line"))
+    else:
+        frames = []
+        for path in paths:
+            df = scan(spark, path, fmt=fmt)
+            df = df.toDF(*[c.lower() for c in df.columns])
+            frames.append(df.select(*[F.col(n).cast("string").alias(n) for n in names if n in df.columns]))
+        text = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        absent = [F.lit(None).cast("string").alias(n) for n in names if n not in text.columns]
+        text = text.select("*", *absent, F.lit(False).alias("_broken"), F.lit(None).cast("string").alias("_line"))
+    text = blank_na(text, keep=("_line",))
     typed = text.select(
-        *[F.col(f.name).alias(f"_raw_{f.name}") for f in schema.fields],
+        *[F.col(n).alias(f"_raw_{n}") for n in names],
         *[_typed(F.col(f.name), f).alias(f.name) for f in schema.fields],
+        "_broken",
+        "_line",
     )
-    spoiled = reduce(
-        lambda a, b: a | b,
-        [F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull() for n in schema.names],
-    )
-    original = F.to_json(
-        F.struct(*[F.col(f"_raw_{n}").alias(n) for n in schema.names]),
-        {"ignoreNullFields": "false"},
-    )
-    return typed.where(~spoiled).select(*schema.names), typed.where(spoiled).select(
-        original.alias("raw_row")
+    spoiled = reduce(lambda a, b: a | b, [F.col(f"_raw_{n}").isNotNull() & F.col(n).isNull() for n in names])
+    named = F.struct(*[F.col(f"_raw_{n}").alias(n) for n in names])
+    original = F.coalesce(F.col("_line"), F.to_json(named, {"ignoreNullFields": "false"}))
+    good = typed.where(~F.col("_broken") & ~spoiled).select(*names)
+    bad = typed.where(F.col("_broken") | spoiled).select(
+        F.when(F.col("_broken"), "width").otherwise("value").alias("reason"), original.alias("raw_row")
     )
+    return good, bad

@@ -19,9 +19,14 @@ from rillflow.functions.scalars import to_id
 from rillflow.operators.joins import fits_broadcast
 from rillflow.operators.quality import classify, clean, quarantine
 from rillflow.plans.pipeline import reason_totals
-from rillflow.schemas import METRICS, RAW, RAW_COLUMNS
+from rillflow.schemas import METRICS, RAW_COLUMNS
 from rillflow.sources.lake import Lake
-from rillflow.sources.tables import CSV_OPTIONS, number_rows, stage, with_position
+from rillflow.sources.csvfiles import as_path
+from rillflow.sources.tables import land
+
+#: What a stream of files says of each.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def seen_before(lake: Lake, ctx: RunContext, batch: DataFrame, batch_id: int) -> DataFrame | None:
     """Log ids of earlier batches that lie in this batch's id range.
@@ -42,15 +47,13 @@ def rows_before(lake: Lake, ctx: RunContext, batch_id: int) -> int:
 
 
 def process_batch(
-    lake: Lake, ctx: RunContext, arrived: DataFrame, batch_id: int, source_file: str
+    lake: Lake, ctx: RunContext, files: list[str], batch_id: int, source_file: str, fmt: str = "csv"
 ) -> None:
-    """``arrived`` has the raw text columns with ``_file`` and ``_block``."""
+    """``files``: what came; they are read as in a batch load, by each file's own header."""
     users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
     landing = lake.path("stream", "landing", etl_run_id=ctx.run_id, part_id=batch_id)
-    n = stage(arrived, landing)
-    arrived = number_rows(
-        lake.spark.read.parquet(landing), RAW_COLUMNS["weblogs"], rows_before(lake, ctx, batch_id)
-    )
+    first = rows_before(lake, ctx, batch_id)
+    arrived, n = land(lake.spark, files, RAW_COLUMNS["weblogs"], fmt=fmt, staging=landing, start=first)
     judged = None
     try:
         typed = arrived.select(to_id(F.col("log_id")).alias("log_id"))
@@ -80,21 +83,27 @@ def process_batch(
 
 def start(
     lake: Lake, folder: str, ctx: RunContext, progress: str, *, fmt: str = "csv",
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start the stream over ``folder`` with the files that are there; ``progress`` is its checkpoint."""
-    reader = lake.spark.readStream.schema(RAW["weblogs"]).format(fmt)
-    if fmt == "csv":
-        reader = reader.options(**CSV_OPTIONS)
+    """Start the stream over ``folder``; ``progress`` is its checkpoint.
+
+    ``trigger`` as ``DataStreamWriter.trigger`` takes it; by default the files that are there.
+    """
+    # one row per new file; its content is not read here
+    reader = lake.spark.readStream.schema(FILES).format("binaryFile")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def take(batch: DataFrame, batch_id: int) -> None:
+        files = [as_path(r[0]) for r in batch.collect()]  # a reader takes names of files
+        process_batch(lake, ctx, files, batch_id, folder, fmt)
+
     return (
-        with_position(reader.load(folder), RAW_COLUMNS["weblogs"])
-        .writeStream.foreachBatch(
-            lambda batch, batch_id: process_batch(lake, ctx, batch, batch_id, folder)
-        )
+        reader.load(folder)
+        .select("path")
+        .writeStream.foreachBatch(take)
         .option("checkpointLocation", progress)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
