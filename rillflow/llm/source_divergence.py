@@ -276,14 +276,15 @@ def audit(
 
 
 def pair_part(sums: DataFrame, groups: DataFrame) -> DataFrame:
-    sides = [
-        sums.select("lang", F.col(a).alias("source"), F.col(b).alias("item"), F.col(v).alias("value"), "union")
-        for a, b, v in (("one", "two", "forward"), ("two", "one", "backward"))
-    ]
+    both = F.array(
+        F.struct(F.col("one").alias("source"), F.col("two").alias("item"), F.col("forward").alias("value")),
+        F.struct(F.col("two").alias("source"), F.col("one").alias("item"), F.col("backward").alias("value")),
+    )
+    ways = sums.select("lang", "union", F.inline(both))
     mine = pairs_of(groups.select("lang", "source", "total", "terms"), groups.select("lang", F.col("source").alias("other")))
     other = groups.select("lang", F.col("source").alias("item"), F.col("total").alias("other_total"))
     pairs = mine.withColumnRenamed("other", "item").join(other, ["lang", "item"])
-    pairs = pairs.join(sides[0].unionByName(sides[1]), ["lang", "source", "item"], "left").na.fill(0, ["value", "union"])
+    pairs = pairs.join(ways, ["lang", "source", "item"], "left").na.fill(0, ["value", "union"])
     none = F.lit(0).cast("long")
     p0, q0 = share_column(none, F.col("total"), F.col("terms")), share_column(none, F.col("other_total"), F.col("terms"))
     absent = (F.col("terms") - F.col("union")) * price_column(p0, q0)
