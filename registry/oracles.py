@@ -88,6 +88,18 @@ STEPS: dict[str, str] = {
               THEN 'invalid session_id'
             WHEN ts_value IS NULL THEN 'invalid timestamp' END AS rejection_reason
         FROM logs_typed""",
+    "halves_judged": """
+        SELECT log_id, CASE
+            WHEN user_id IS NULL THEN 'null user_id'
+            WHEN log_id IS NOT NULL AND row_number() OVER (PARTITION BY log_id,
+              least(1, row_index * 2 // (SELECT count(*) FROM raw_weblogs)) ORDER BY row_index) > 1
+              THEN 'duplicate log_id'
+            WHEN user_id NOT IN (SELECT user_id FROM users_ok) THEN 'orphan user_id'
+            WHEN product_id NOT IN (SELECT product_id FROM products_ok) THEN 'orphan product_id'
+            WHEN session_id IS NULL OR NOT regexp_matches(session_id, '^sess_[0-9]+$')
+              THEN 'invalid session_id'
+            WHEN ts_value IS NULL THEN 'invalid timestamp' END AS rejection_reason
+        FROM logs_typed""",
     "logs_ok": """
         SELECT log_id, user_id, product_id, session_id, action, ts_text, ts_value AS action_ts, row_index,
           CASE WHEN lower(trim(action)) IN ('view', 'add_to_cart', 'purchase')
@@ -475,6 +487,17 @@ _BODIES: dict[str, str] = {
     "layer_inventory": """SELECT 'users' AS source, count(*) AS "rows" FROM users_ok
         UNION ALL SELECT 'products', count(*) FROM products_ok""",
     "stream_weblogs_classified": "SELECT row_index, rejection_reason FROM logs_judged",
+    "stream_two_runs_one_day": "SELECT log_id, rejection_reason FROM halves_judged",
+    "stream_counters": """
+        SELECT 'extracted' AS kind, CAST(NULL AS VARCHAR) AS layer, 'weblogs' AS name,
+          CAST(NULL AS VARCHAR) AS detail, CAST(count(*) AS DOUBLE) AS value FROM logs_judged
+        UNION ALL SELECT 'loaded', 'bronze', 'weblogs', NULL, count(*) FROM logs_ok
+        UNION ALL SELECT 'quarantined', NULL, 'weblogs', NULL, count(*) FROM logs_judged
+          WHERE rejection_reason IS NOT NULL
+        UNION ALL SELECT 'reason', NULL, 'weblogs', r.reason, count(l.rejection_reason) FROM
+          (VALUES ('null user_id'), ('duplicate log_id'), ('orphan user_id'), ('orphan product_id'),
+            ('invalid session_id'), ('invalid timestamp')) r(reason)
+          LEFT JOIN logs_judged l ON l.rejection_reason = r.reason GROUP BY r.reason""",
     "stream_session_windows": _WINDOWS.format("logs_ok"),
     "stream_late_logs": """SELECT log_id, row_index, session_id, action_ts, arrival AS batch
         FROM log_arrivals JOIN arrival_marks USING (arrival) WHERE action_ts < mark""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -680,9 +681,8 @@ def layer_inventory(f: Frames) -> DataFrame:
 
 
 # streams ----------------------------------------------------------------------------------
-@query
-def stream_weblogs_classified(f: Frames) -> DataFrame:
-    """The logs as a stream of files in three arrivals; kept and rejected rows afterwards."""
+def _streamed(f: Frames) -> Lake:
+    """A lake into which the logs came as a stream of files in three arrivals."""
     folder = fresh_folder(f.spark, "stream")
     lake = Lake(f.spark, f"{folder}/lake")
     for source in ("users", "products"):
@@ -694,6 +694,13 @@ def stream_weblogs_classified(f: Frames) -> DataFrame:
         ordered = arrival.orderBy("row_index").select(*RAW_COLUMNS["weblogs"])
         ordered.write.mode("append").options(**CSV_OPTIONS).csv(f"{folder}/arrivals/{i}")
         stream_ingest.run_available(lake, f"{folder}/arrivals/*", RUN_1, f"{folder}/progress")
+    return lake
+
+
+@query
+def stream_weblogs_classified(f: Frames) -> DataFrame:
+    """The logs as a stream of files in three arrivals; kept and rejected rows afterwards."""
+    lake = _streamed(f)
     kept = lake.read_bronze("weblogs", RUN_1).select(
         "row_index", F.lit(None).cast("string").alias("rejection_reason")
     )
@@ -701,6 +708,32 @@ def stream_weblogs_classified(f: Frames) -> DataFrame:
     return kept.unionByName(lost.select("row_index", "rejection_reason"))
 
 
+@query
+def stream_two_runs_one_day(f: Frames) -> DataFrame:
+    """Two streams of one day, each with half of the logs: both stay in Bronze, beside a batch load."""
+    folder = fresh_folder(f.spark, "stream")
+    lake = Lake(f.spark, f"{folder}/lake")
+    for source in ("users", "products"):
+        lake.write_bronze(getattr(f, source), source, RUN_1)
+    raw = f.raw("weblogs")
+    n = raw.count()
+    for i, run in enumerate((RUN_1, replace(RUN_1, run_id="run-0001b"))):
+        half = raw.where(F.expr(f"least(1, row_index * 2 div {n})") == i).orderBy("row_index")
+        half.select(*RAW_COLUMNS["weblogs"]).write.options(**CSV_OPTIONS).csv(f"{folder}/half-{i}")
+        stream_ingest.run_available(lake, f"{folder}/half-{i}", run, f"{folder}/progress-{i}")
+    kept = lake.read_bronze("weblogs", RUN_1).select("log_id", F.lit(None).cast("string").alias("rejection_reason"))
+    lost = lake.read_quarantine().where("source = 'weblogs'")
+    log_id = F.get_json_object("raw_row", "$.log_id").cast("long")
+    return kept.unionByName(lost.select(log_id.alias("log_id"), "rejection_reason"))
+
+
+@query
+def stream_counters(f: Frames) -> DataFrame:
+    """Counters of a stream, added up over its micro-batches."""
+    lake = _streamed(f)
+    return lake.read_batch_metrics(RUN_1).select("kind", "layer", "name", "detail", "value")
+
+
 @query
 def stream_session_windows(f: Frames) -> DataFrame:
     """Session totals from a stream of Silver logs that come at once: closed and open ones."""

@@ -49,8 +49,8 @@ def ingest(
         ]
     )
     refs = {
-        "users": lake.read_bronze("users", ctx),
-        "products": lake.read_bronze("products", ctx),
+        "users": lake.read_bronze("users", ctx, own=True),
+        "products": lake.read_bronze("products", ctx, own=True),
         "users_fit": pairs_fit(sizes[0]["rows"]),
         "products_fit": pairs_fit(sizes[1]["rows"]),
     }
@@ -99,8 +99,8 @@ def note_source(rows: Rows, lake: Lake, ctx, source: str, kept: int, rejected: d
 
 
 def build_silver(lake: Lake, ctx: RunContext, rows: Rows, **fits: bool) -> None:
-    users, products = (lake.read_bronze(s, ctx) for s in ("users", "products"))
-    logs = to_silver(lake.read_bronze("weblogs", ctx), ctx)
+    users, products, logs = (lake.read_bronze(s, ctx, own=True) for s in ("users", "products", "weblogs"))
+    logs = to_silver(logs, ctx)
 
     def note(dataset: str, written: int) -> None:
         if written:
@@ -136,7 +136,7 @@ def note_anomalies(lake: Lake, ctx: RunContext, rows: Rows) -> None:
 
 
 def note_observations(lake: Lake, ctx: RunContext, raw: dict[str, DataFrame], rows: Rows) -> None:
-    users = lake.read_bronze("users", ctx)
+    users = lake.read_bronze("users", ctx, own=True)
     observed = quality_observations(raw["users"], users, raw["products"], raw["weblogs"])
     rows += [("observation", None, r.observation, None, r.rate) for r in observed.collect()]
 

@@ -1,12 +1,13 @@
 """Layer layout on any file system Spark can write to.
 
-``<root>/bronze/<source>/ingest_date=D/part_id=N``
-``<root>/quarantine/source=S/etl_run_date=D/etl_run_id=R/part_id=N``
-``<root>/silver/<dataset>/etl_run_date=D[/etl_run_id=R]``
+``<root>/bronze/<source>/ingest_date=D/etl_run_id=R/part_id=N/attempt=A``
+``<root>/quarantine/source=S/etl_run_date=D/etl_run_id=R/part_id=N/attempt=A``
+``<root>/silver/<dataset>/etl_run_date=D[/etl_run_id=R]/attempt=A``
 ``<root>/gold/<dimension>/version=V`` and ``<root>/gold/<fact or aggregate>/etl_run_date=D``
 
-Every write names the folder of its own partition, so writing a day again replaces that day and
-leaves no stale files.  A dimension gets a new version folder per load; ``gold/_versions/name=T``
+Bronze, quarantine and Silver are written to a fresh folder, which counts once it is listed
+(``commits``): no write deletes what readers see, and runs of one day stay apart.  ``vacuum`` deletes
+what has been replaced.  A dimension gets a new version folder per load; ``gold/_versions/name=T``
 lists the finished ones, and readers take the newest of these.  ``_runs`` lists the runs whose
 Silver logs are whole, and those that each Gold table has.
 """
@@ -24,8 +25,9 @@ from pyspark.sql import types as T
 
 from rillflow.context import RunContext
 from rillflow.schemas import BRONZE, GOLD, METRICS, QUARANTINE, REPORT, RUNS, SILVER, SILVER_PARTITIONS, table
-from rillflow.session import together
-from rillflow.sources.tables import CSV_OPTIONS
+from rillflow.session import remove, together
+from rillflow.sources.commits import Commits
+from rillflow.sources.csvfiles import CSV_OPTIONS
 
 _FORMAT_OPTIONS = {
     "parquet": {},
@@ -37,6 +39,7 @@ _FORMAT_OPTIONS = {
     },
 }
 _VERSIONS = table("version long, etl_run_id string")
+_COMMITTED = ("bronze", "quarantine", "silver")
 _PART = T.StructField("part_id", T.LongType(), True)
 
 
@@ -73,22 +76,50 @@ class Lake:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    # writes that count once they are listed ------------------------------------------------
+    @property
+    def commits(self) -> Commits:
+        return Commits(self.spark, self.root.rstrip("/"))
+
+    def _commit(
+        self, df: DataFrame, layer: str, dataset: str, ctx: RunContext, unit: str, folder: str, counts=None
+    ) -> dict[str, int]:
+        target = self.commits.fresh(folder)
+        out = self._write(df, target, "errorifexists", counts=counts)
+        self.commits.add(layer, dataset, ctx.run_date, unit, ctx.run_id, target)
+        return out
+
+    def _read_live(self, folders: list[str], schema: T.StructType, base: str) -> DataFrame:
+        """Listed folders; their partition columns come from their names below ``base``."""
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        reader = self.spark.read.format(self.fmt).options(**_FORMAT_OPTIONS[self.fmt])
+        return reader.option("basePath", base).schema(schema).load(folders)
+
+    def vacuum(self, *layers: str) -> int:
+        """Delete folders that a later write has replaced; no reader may be at them any more."""
+        old = [f for layer in layers or _COMMITTED for f in self.commits.superseded(layer)]
+        for folder in old:
+            remove(self.spark, folder)
+        return len(old)
+
     # bronze and quarantine ----------------------------------------------------------------
     def write_bronze(
         self, clean: DataFrame, source: str, ctx: RunContext, *, part_id: int | None = None,
         counts: dict[str, Column] | None = None,
     ) -> dict[str, int]:
-        """A batch load replaces its day; a stream replaces its own ``part_id`` of the day."""
-        day = self.path("bronze", source, ingest_date=ctx.run_date)
-        if part_id is not None:
-            return self._write(clean, f"{day}/part_id={part_id}", "overwrite", counts=counts)
-        clean = clean.withColumn("part_id", F.lit(0).cast("bigint"))
-        return self._write(clean, day, "overwrite", by=["part_id"], counts=counts)
-
-    def read_bronze(self, source: str, ctx: RunContext) -> DataFrame:
-        day = self.path("bronze", source, ingest_date=ctx.run_date)
+        """A batch load takes the place of the day's last one; each part of a stream is its own."""
+        unit = "batch" if part_id is None else f"{ctx.run_id}/{part_id}"
+        folder = self.path(
+            "bronze", source, ingest_date=ctx.run_date, etl_run_id=ctx.run_id, part_id=part_id or 0
+        )
+        return self._commit(clean, "bronze", source, ctx, unit, folder, counts)
+
+    def read_bronze(self, source: str, ctx: RunContext, *, own: bool = False) -> DataFrame:
+        """The day of the run: its last batch load and all parts of streams; ``own``: this run's alone."""
+        folders = self.commits.live("bronze", source, ctx.run_date, ctx.run_id if own else None)
         schema = T.StructType(BRONZE[source].fields + [_PART])
-        return self._read(day, schema).select(*BRONZE[source].names)
+        return self._read_live(folders, schema, self.path("bronze", source)).select(*BRONZE[source].names)
 
     def quarantine_path(self, source: str, ctx: RunContext) -> str:
         return self.path(
@@ -100,27 +131,18 @@ class Lake:
         counts: dict[str, Column] | None = None,
     ) -> dict[str, int]:
         records = records.drop("etl_run_date", "etl_run_id")
-        path = f"{self.quarantine_path(source, ctx)}/part_id={part_id}"
-        return self._write(records, path, "overwrite", counts=counts)
+        folder = f"{self.quarantine_path(source, ctx)}/part_id={part_id}"
+        return self._commit(records, "quarantine", source, ctx, f"{ctx.run_id}/{part_id}", folder, counts)
 
     def read_quarantine(self) -> DataFrame:
         """All quarantine records with their ``source``; filters on it, date and run prune."""
         schema = T.StructType(
             [T.StructField("source", T.StringType(), True)] + QUARANTINE.fields + [_PART]
         )
-        return self._read(self.path("quarantine"), schema).select("source", *QUARANTINE.names)
+        folders = self.commits.live("quarantine")
+        return self._read_live(folders, schema, self.path("quarantine")).select("source", *QUARANTINE.names)
 
     # stream state -------------------------------------------------------------------------
-    def write_seen(self, ids: DataFrame, ctx: RunContext, part_id: int) -> None:
-        path = self.path("stream", "seen_log_ids", etl_run_id=ctx.run_id, part_id=part_id)
-        firsts = ids.where(F.col("log_id").isNotNull()).distinct()
-        ranges = firsts.repartitionByRange("log_id").sortWithinPartitions("log_id")
-        ranges.write.mode("overwrite").parquet(path)
-
-    def read_seen(self, ctx: RunContext) -> DataFrame:
-        path = self.path("stream", "seen_log_ids", etl_run_id=ctx.run_id)
-        return Lake(self.spark, self.root)._read(path, table("log_id long, part_id long"))
-
     def write_batch_metrics(self, rows: DataFrame, ctx: RunContext, part_id: int) -> None:
         path = self.path("stream", "metrics", etl_run_id=ctx.run_id, part_id=part_id)
         rows.coalesce(1).write.mode("overwrite").parquet(path)
@@ -141,11 +163,15 @@ class Lake:
             raise ValueError(f"Unknown silver dataset: {dataset!r}")
         values = {"etl_run_date": ctx.run_date, "etl_run_id": ctx.run_id}
         parts = {k: values[k] for k in SILVER_PARTITIONS[dataset]}
-        return self._write(df.drop(*parts), self.path("silver", dataset, **parts), "overwrite", counts=counts)
+        unit = "/".join(str(v) for v in parts.values())
+        return self._commit(
+            df.drop(*parts), "silver", dataset, ctx, unit, self.path("silver", dataset, **parts), counts
+        )
 
     def read_silver(self, dataset: str) -> DataFrame:
         """All runs; a filter on the run date or id prunes to its folders."""
-        return self._read(self.path("silver", dataset), SILVER[dataset]).select(
+        folders = self.commits.live("silver", dataset)
+        return self._read_live(folders, SILVER[dataset], self.path("silver", dataset)).select(
             *SILVER[dataset].names
         )
 
@@ -252,18 +278,26 @@ class Lake:
 
     # inventory ----------------------------------------------------------------------------
     def inventory(self, layer: str, dataset: str | None = None) -> DataFrame:
-        """``file_path, rows`` of every file below a layer; empty when there is none."""
-        path = self.path(layer, dataset)
-        reader = self.spark.read.format(self.fmt).options(**_FORMAT_OPTIONS[self.fmt])
-        try:
-            files = reader.option("recursiveFileLookup", "true").load(path)
-        except AnalysisException as err:
-            if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                raise
+        """``file_path, rows`` of every file of a layer that counts; empty when there is none."""
+        files = self._files(layer, dataset)
+        if files is None:
             return self.spark.createDataFrame([], table("file_path string, rows long"))
         return files.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
             F.count(F.lit(1)).alias("rows")
         )
 
     def exists(self, layer: str, dataset: str | None = None) -> bool:
-        return not self.inventory(layer, dataset).isEmpty()
+        files = self._files(layer, dataset)
+        return files is not None and not files.isEmpty()
+
+    def _files(self, layer: str, dataset: str | None) -> DataFrame | None:
+        paths = self.commits.live(layer, dataset) if layer in _COMMITTED else [self.path(layer, dataset)]
+        if not paths:
+            return None
+        reader = self.spark.read.format(self.fmt).options(**_FORMAT_OPTIONS[self.fmt])
+        try:
+            return reader.option("recursiveFileLookup", "true").load(paths)
+        except AnalysisException as err:
+            if err.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            return None

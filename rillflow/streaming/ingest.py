@@ -23,24 +23,12 @@ from rillflow.schemas import METRICS, RAW_COLUMNS
 from rillflow.sources.lake import Lake
 from rillflow.sources.csvfiles import as_path
 from rillflow.sources.tables import land
+from rillflow.streaming.idstore import IdStore
 
 #: What a stream of files says of each.
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
-def seen_before(lake: Lake, ctx: RunContext, batch: DataFrame, batch_id: int) -> DataFrame | None:
-    """Log ids of earlier batches that lie in this batch's id range.
-
-    Earlier ids are sorted inside their files, so the range skips most row groups of a store
-    that has grown large.
-    """
-    ids = batch.agg(F.min("log_id"), F.max("log_id")).first()
-    if ids[0] is None:
-        return None
-    known = lake.read_seen(ctx).where(F.col("part_id") < batch_id)
-    return known.where(F.col("log_id").between(ids[0], ids[1])).select("log_id")
-
-
 def rows_before(lake: Lake, ctx: RunContext, batch_id: int) -> int:
     earlier = lake.read_batch_metrics(ctx, before=batch_id).where("kind = 'extracted'")
     return int(earlier.agg(F.sum("value")).first()[0] or 0)
@@ -54,12 +42,12 @@ def process_batch(
     landing = lake.path("stream", "landing", etl_run_id=ctx.run_id, part_id=batch_id)
     first = rows_before(lake, ctx, batch_id)
     arrived, n = land(lake.spark, files, RAW_COLUMNS["weblogs"], fmt=fmt, staging=landing, start=first)
-    judged = None
+    store, judged = IdStore(lake, ctx), None
     try:
         typed = arrived.select(to_id(F.col("log_id")).alias("log_id"))
         judged = classify(
             arrived, "weblogs", users=users, products=products,
-            seen=seen_before(lake, ctx, typed, batch_id),
+            seen=store.known(typed, batch_id),
             users_fit=fits_broadcast(users), products_fit=fits_broadcast(products),
         ).persist(StorageLevel.DISK_ONLY)
         kept = lake.write_bronze(clean(judged, "weblogs"), "weblogs", ctx, part_id=batch_id)
@@ -67,7 +55,7 @@ def process_batch(
         lost = lake.write_quarantine(
             records, "weblogs", ctx, part_id=batch_id, counts=reason_totals("weblogs")
         )
-        lake.write_seen(judged.select("log_id"), ctx, batch_id)
+        store.add(judged, batch_id)
         counters = [("extracted", None, "weblogs", None, float(n))]
         counters += [("loaded", "bronze", "weblogs", None, float(kept["rows"]))]
         counters += [
@@ -76,6 +64,7 @@ def process_batch(
             for k, n in lost.items()
         ]
         lake.write_batch_metrics(lake.spark.createDataFrame(counters, METRICS), ctx, batch_id)
+        store.merge(batch_id)
     finally:
         if judged is not None:
             judged.unpersist()
