@@ -15,7 +15,7 @@ from rillflow.plans import bi, checks, gold, pipeline, report, silver
 from rillflow.schemas import BRONZE, DIM_PRODUCT, DIM_USER, RAW_COLUMNS, table
 from rillflow.session import fresh_folder, pin
 from rillflow.sources.lake import Lake
-from rillflow.sources.tables import CSV_OPTIONS, land, load_by_name, typed_scan
+from rillflow.sources.tables import CSV_OPTIONS, land, load_by_name, project, typed_scan
 from rillflow.streaming import ingest as stream_ingest
 from rillflow.streaming import sessions as stream_sessions
 

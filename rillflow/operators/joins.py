@@ -61,6 +61,20 @@ def hot_keys(df: DataFrame, key: str, parts: int) -> Hot:
     return slices(top, seen.get["total"] or 0, parts)
 
 
+def frequent_keys(df: DataFrame, keys: list[str]) -> dict[str, Hot]:
+    """Hot keys of several long columns in one pass, by mergeable sketches of frequent items.
+
+    A sketch tracks eight times as many items as there are reducers, so one that holds more than an
+    even share of the rows is in it; its count is near enough to deal out slices.
+    """
+    parts = reducers(df.sparkSession)
+    found = df.agg(
+        *[F.expr(f"approx_top_k({k}, {min(parts, 100_000)}, {max(1024, 8 * parts)})").alias(k) for k in keys],
+        *[F.count(k).alias(f"{k}_n") for k in keys],
+    ).first()
+    return {k: slices([(r["item"], r["count"]) for r in found[k]], found[f"{k}_n"], parts) for k in keys}
+
+
 def most_frequent(counts: DataFrame, parts: int) -> Hot:
     """The ``parts`` largest counts of a ``(key, _n)`` frame."""
     return [tuple(r) for r in counts.orderBy(F.desc("_n")).limit(parts).collect()]
@@ -128,6 +142,14 @@ def lookup(
     return big.join(small, [key, "_slice"], how).drop("_slice")
 
 
-def not_found(df: DataFrame, key: str, raw: Column, marker: str) -> Column:
-    """A given key that has no match, or that is not a number at all."""
-    return raw.isNotNull() & (F.col(key).isNull() | F.col(marker).isNull())
+def already_in(history: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``new`` that ``history`` has.
+
+    The keys of the new rows are the small side: while they fit, the history is read in one column
+    and does not move.
+    """
+    wanted = new.select(key).where(F.col(key).isNotNull()).distinct()
+    done = history.select(key)
+    if fits_broadcast(wanted):
+        return done.join(F.broadcast(wanted), key, "left_semi").distinct()
+    return done.distinct().join(wanted, key, "left_semi")

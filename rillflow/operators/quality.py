@@ -18,7 +18,7 @@ from rillflow.functions.scalars import (
     valid_session,
 )
 from rillflow.operators.dedupe import flag_repeats, keep_latest
-from rillflow.operators.joins import lookup, not_found
+from rillflow.operators.joins import fits_broadcast, frequent_keys, lookup
 from rillflow.schemas import BRONZE, QUARANTINE, RAW_COLUMNS
 
 # Rejection labels, in the order in which the rules are tried.
@@ -82,33 +82,47 @@ def classify_weblogs(
 ) -> DataFrame:
     """``row_index, raw, log_id, user_id, product_id, rejection_reason`` for every log row.
 
-    ``users`` and ``products`` are the clean tables; their ids are unique.
+    ``users`` and ``products`` are the clean tables; their ids are unique.  What the rules look at
+    besides the ids is judged at the scan.  If a table is too large to be broadcast, the shuffles of
+    the lookups move positions, ids and four flags, and the rows themselves move once, at the end, by
+    position; the ids that are hot in any of the three lookups are then found in one pass.
     """
-    logs = _with_raw(raw, "weblogs").select(
+    known = {"user_id": valid_ids(users, "user_id"), "product_id": valid_ids(products, "product_id")}
+    fits = {"user_id": users_fit, "product_id": products_fit}
+    fits = {k: fits_broadcast(known[k]) if f is None else f for k, f in fits.items()}
+    in_place = all(fits.values())
+    rows = _with_raw(raw, "weblogs")
+    logs = rows.select(
         "row_index",
-        "raw",
+        *(["raw"] if in_place else []),
         *[to_id(F.col(f"raw.{c}")).alias(c) for c in ("log_id", "user_id", "product_id")],
+        F.col("raw.user_id").isNotNull().alias("_has_user_id"),
+        F.col("raw.product_id").isNotNull().alias("_has_product_id"),
+        (~valid_session(F.col("raw.session_id"))).alias("_bad_session"),
+        parse_timestamp(F.col("raw.timestamp")).isNull().alias("_bad_time"),
     )
-    scan = logs
-    logs = flag_repeats(logs, "log_id", "_repeat", seen=seen)
-    for table, key, fits in ((users, "user_id", users_fit), (products, "product_id", products_fit)):
-        logs = lookup(logs, valid_ids(table, key), key, small_fits=fits, count_on=scan)
+    hot = {} if in_place else frequent_keys(logs, ["user_id", "product_id"])
+    judged = flag_repeats(logs, "log_id", "_repeat", seen=seen)
+    for key, table in known.items():
+        judged = lookup(judged, table, key, small_fits=fits[key], hot=hot.get(key))
     rules = [
-        F.col("raw.user_id").isNull(),
+        ~F.col("_has_user_id"),
         F.col("_repeat"),
-        not_found(logs, "user_id", F.col("raw.user_id"), "_user_id_known"),
-        not_found(logs, "product_id", F.col("raw.product_id"), "_product_id_known"),
-        ~valid_session(F.col("raw.session_id")),
-        parse_timestamp(F.col("raw.timestamp")).isNull(),
+        F.col("_has_user_id") & (F.col("user_id").isNull() | F.col("_user_id_known").isNull()),
+        F.col("_has_product_id") & (F.col("product_id").isNull() | F.col("_product_id_known").isNull()),
+        F.col("_bad_session"),
+        F.col("_bad_time"),
     ]
-    return logs.select(
+    ids = ["log_id", "user_id", "product_id"]
+    judged = judged.select(
         "row_index",
-        "raw",
-        "log_id",
-        "user_id",
-        "product_id",
+        *(["raw"] if in_place else []),
+        *ids,
         first_match(list(zip(WEBLOG_REASONS, rules))).alias("rejection_reason"),
     )
+    if not in_place:
+        judged = rows.join(judged, "row_index")
+    return judged.select("row_index", "raw", *ids, "rejection_reason")
 
 
 def valid_ids(clean: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.functions.scalars import elapsed_seconds, elapsed_whole_seconds, safe_ratio
-from rillflow.operators.joins import fits_broadcast, lookup
+from rillflow.operators.joins import already_in, lookup
 from rillflow.schemas import AGG, HIGH_ACTIVITY_ACTIONS, LONG_SESSION_STDDEVS
 
 
@@ -100,11 +100,8 @@ def gold_session_metrics(
         row_id="_group", small_fits=users_fit, count_on=silver,
     ).where(F.col("user_sk").isNotNull())
     if loaded is not None:
-        done = loaded.select("session_id").where(F.col("session_id").isNotNull())
-        keyed = lookup(
-            keyed, done.distinct(), "session_id", "left_anti",
-            row_id="_group", small_fits=fits_broadcast(done), count_on=silver,
-        )
+        done = already_in(loaded, silver, "session_id")
+        keyed = lookup(keyed, done, "session_id", "left_anti", row_id="_group", count_on=silver)
     return keyed.withColumns(
         {
             "session_duration_s": elapsed_whole_seconds("session_start", "session_end"),

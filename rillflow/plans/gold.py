@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.context import RunContext
-from rillflow.operators.joins import fits_broadcast, lookup
+from rillflow.operators.joins import already_in, lookup
 from rillflow.operators.keys import sparse_number
 from rillflow.operators.upsert import newest_per_key, next_key, upsert
 from rillflow.schemas import FACT, PRODUCT_DAILY
@@ -59,11 +59,8 @@ def fact_rows(
         "etl_run_id", "etl_run_date",
     )
     if loaded is not None:
-        done = loaded.select("log_id").where(F.col("log_id").isNotNull())
-        rows = lookup(
-            rows, done.distinct(), "log_id", "left_anti",
-            small_fits=fits_broadcast(done), count_on=scan,
-        )
+        done = already_in(loaded, scan, "log_id")
+        rows = lookup(rows, done, "log_id", "left_anti", count_on=scan)
     users = dim_user.select("user_id", "user_sk")
     products = dim_product.select("product_id", "product_sk")
     rows = lookup(rows, users, "user_id", how, small_fits=users_fit, count_on=scan)

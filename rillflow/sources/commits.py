@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 from rillflow.schemas import table
@@ -32,8 +32,7 @@ class Commits:
 
     def add(self, layer: str, dataset: str, day: date, unit: str, run_id: str, folder: str) -> None:
         """List a finished write; from here on it is the one that counts for its unit."""
-        mine = (F.col("dataset") == dataset) & (F.col("day") == F.lit(day))
-        last = self._entries(layer).where(mine).agg(F.max("seq")).first()[0] or 0
+        last = max((e.seq for e in self._entries(layer, dataset=dataset, day=day)), default=0)
         entry = self.spark.createDataFrame(
             [(unit, run_id, last + 1, folder[len(self.root) :].lstrip("/"))],
             table("unit string, run_id string, seq long, folder string"),
@@ -45,25 +44,31 @@ class Commits:
         self, layer: str, dataset: str | None = None, day: date | None = None, run_id: str | None = None
     ) -> list[str]:
         """Folders that count, of a day or a run where they are given."""
-        entries = self._entries(layer)
-        for name, value in (("dataset", dataset), ("day", day), ("run_id", run_id)):
-            if value is not None:
-                entries = entries.where(F.col(name) == F.lit(value))
-        return self._folders(entries, "_n = 1")
+        return [self._folder(e) for e in self._newest(layer, dataset=dataset, day=day, run_id=run_id)]
 
     def superseded(self, layer: str) -> list[str]:
-        return self._folders(self._entries(layer), "_n > 1")
+        live = {e.folder for e in self._newest(layer)}
+        return sorted(self._folder(e) for e in self._entries(layer) if e.folder not in live)
+
+    def _folder(self, entry: Row) -> str:
+        return f"{self.root}/{entry.folder}"
+
+    def _newest(self, layer: str, **which: object) -> list[Row]:
+        # two writers of one unit at once may take one number; the folder decides then
+        newest: dict[tuple, Row] = {}
+        for e in sorted(self._entries(layer, **which), key=lambda e: (e.seq, e.folder)):
+            newest[e.dataset, e.day, e.unit] = e
+        return sorted(newest.values(), key=lambda e: e.folder)
 
-    def _entries(self, layer: str) -> DataFrame:
+    def _entries(self, layer: str, **which: object) -> list[Row]:
+        """A row per finished write; readers need the names of their folders on the driver."""
         try:
-            return self.spark.read.schema(_COMMITS).parquet(f"{self.root}/_commits/{layer}")
+            entries = self.spark.read.schema(_COMMITS).parquet(f"{self.root}/_commits/{layer}")
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], _COMMITS)
-
-    def _folders(self, entries: DataFrame, which: str) -> list[str]:
-        # two writers of one unit at once may take one number; the folder decides then
-        newest = Window.partitionBy("dataset", "day", "unit").orderBy(F.desc("seq"), "folder")
-        rows = entries.withColumn("_n", F.row_number().over(newest)).where(which)
-        return [f"{self.root}/{r[0]}" for r in rows.select("folder").orderBy("folder").collect()]
+            return []
+        for name, value in which.items():
+            if value is not None:
+                entries = entries.where(F.col(name) == F.lit(value))
+        return entries.collect()

@@ -19,14 +19,14 @@ import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.functions.scalars import blank_na
-from rillflow.operators.joins import fits_broadcast, lookup
+from rillflow.operators.joins import fits_broadcast, lookup, within_limit
 from rillflow.session import pin
-from rillflow.sources.positions import blocks_of, require_own_keys, shifts, stage, with_block
+from rillflow.sources.positions import blocks_of, count_blocks, shifts, stage, with_block
 
 # Quotes are doubled inside quoted cells, and outer blanks belong to the text.
 CSV_OPTIONS = {
@@ -100,33 +100,47 @@ def land_csv(
     """
     options = {"pathGlobFilter": pattern} if pattern else {}
     width = width or first_width(spark, paths, options) + 1
-    n = stage(read_cells(spark, paths, width, options), f"{folder}/plain")
+    odd = F.count_if("_odd")
+    seen = stage(read_cells(spark, paths, width, options), f"{folder}/plain", odd=odd)
     staged = spark.read.parquet(f"{folder}/plain")
-    cut = staged.where("_odd").select("_file").distinct()
-    torn = [as_path(unquote(r[0])) for r in cut.collect()]  # a reader takes names of files
-    if torn:
-        whole = read_cells(spark, torn, width, {"multiLine": "true"})
-        stage(whole, f"{folder}/whole", 1)
+    if seen["odd"]:
+        cut = staged.where("_odd").select("_file").distinct()
+        torn = [as_path(unquote(r[0])) for r in cut.collect()]  # a reader takes names of files
+        stage(read_cells(spark, torn, width, {"multiLine": "true"}), f"{folder}/whole", 1)
         rest = staged.join(F.broadcast(cut) if fits_broadcast(cut) else cut, "_file", "left_anti")
         staged = rest.unionByName(spark.read.parquet(f"{folder}/whole"))
     blocks = blocks_of(staged)
-    require_own_keys(blocks)
-    heads = blocks.groupBy("_file").agg(F.min(F.struct("_block", "_base"))["_base"].alias("_head"))
-    headers = pin(header_places(staged, heads, columns, width, any_case))
-    widest = (headers.agg(F.max("_wanted")).first()[0] or 0) + 1
+    n_blocks, n = count_blocks(blocks)
+    first = blocks.groupBy("_file").agg(F.min(F.struct("_block", "_base")).alias("at"))
+    heads = first.select("_file", F.col("at._base").alias("_head"))
+    last_first = first.agg(F.max("at._block")).first()[0]  # 0 but for files that begin with blank lines
+    near_heads = staged.where(F.col("_block") <= F.lit(last_first))  # skips the row groups of later blocks
+    headers = pin(header_places(near_heads, heads, columns, width, any_case, within_limit(8 * n_blocks)))
+    places = _places(columns)
+    found = headers.agg(
+        F.count(F.lit(1)).alias("files"), F.sum("_wanted").alias("cells"), F.max("_wanted").alias("wanted"),
+        *[F.collect_set(p).alias(p) for p in places], *[F.count(p).alias(f"{p}n") for p in places],
+    ).first()  # at most ``width`` places per column
+    widest = (found["wanted"] or 0) + 1
     if widest > width:
         return land_csv(
             spark, paths, columns, f"{folder}/wide", start=start, any_case=any_case, pattern=pattern, width=widest
         )
-    return placed(staged, blocks, headers, columns, width, start)
+    fits = within_limit(8 * (3 + len(columns) + 1) * n_blocks)
+    rows, missing = placed(staged, blocks, headers, columns, width, start, found, fits)
+    return CsvRows(rows, n - found["files"], missing)
+
+
+def _places(columns: list[str]) -> list[str]:
+    return [f"_p{i}" for i in range(len(columns))]
 
 
 def header_places(
-    staged: DataFrame, heads: DataFrame, columns: list[str], width: int, any_case: bool
+    staged: DataFrame, heads: DataFrame, columns: list[str], width: int, any_case: bool, heads_fit: bool
 ) -> DataFrame:
     """``_file, _head, _wanted`` and per column its cell in that file (null: it has none)."""
     at = heads.withColumnRenamed("_head", "_at").select("_at", F.col("_at").alias("_head"))
-    at = F.broadcast(at) if fits_broadcast(at) else at  # one number per file
+    at = F.broadcast(at) if heads_fit else at  # one number per file
     rows = staged.join(at, "_at")
     names = F.array(*[F.coalesce(F.col(n), F.lit("")) for n in _names(width)])
     names = F.transform(names, lambda n: F.replace(n, F.lit("﻿"), F.lit("")))
@@ -135,18 +149,16 @@ def header_places(
     place = lambda c: F.nullif(F.array_position("_names", F.lit(c)), F.lit(0)) - 1
     return rows.withColumn("_names", names).select(
         "_file", "_head", F.col("_width").alias("_wanted"),
-        *[place(c.lower() if any_case else c).cast("int").alias(f"_p{i}") for i, c in enumerate(columns)],
+        *[place(c.lower() if any_case else c).cast("int").alias(p) for p, c in zip(_places(columns), columns)],
     )
 
 
 def placed(
-    staged: DataFrame, blocks: DataFrame, headers: DataFrame, columns: list[str], width: int, start: int
-) -> CsvRows:
-    places = [f"_p{i}" for i in range(len(columns))]
-    found = headers.agg(
-        F.count(F.lit(1)).alias("files"), F.sum("_wanted").alias("cells"), F.max("_wanted").alias("wanted"),
-        *[F.collect_set(p).alias(p) for p in places], *[F.count(p).alias(f"{p}n") for p in places],
-    ).first()  # at most ``width`` places per column
+    staged: DataFrame, blocks: DataFrame, headers: DataFrame, columns: list[str], width: int, start: int,
+    found: Row, blocks_fit: bool,
+) -> tuple[DataFrame, tuple[str, ...]]:
+    """Data rows with their position and the columns, and the columns that some file does not have."""
+    places = _places(columns)
     missing = tuple(c for c, p in zip(columns, places) if found[f"{p}n"] < found["files"])
     # what is the same in all files is not looked up
     fixed = {p: found[p][0] for p in places if len(found[p]) == 1 and found[f"{p}n"] == found["files"]}
@@ -160,8 +172,7 @@ def placed(
             F.when(is_head, F.col("_head")).alias("_skip"), *told,
         )
     )
-    n = blocks.agg(F.sum("_rows")).first()[0] or 0
-    rows = lookup(staged.drop("_file", "_block", "_odd"), table, "_key", row_id="_at")
+    rows = lookup(staged.drop("_file", "_block", "_odd"), table, "_key", row_id="_at", small_fits=blocks_fit)
     rows = rows.where(~F.col("_at").eqNullSafe(F.col("_skip")))
 
     def cell(p: str) -> Column:
@@ -179,7 +190,7 @@ def placed(
         *[cell(p).alias(c) for p, c in zip(places, columns)],
         "_width", wanted.alias("_wanted"), F.coalesce("_record", row_text(held)).alias("_record"),
     )
-    return CsvRows(out, n - found["files"], missing)
+    return out, missing
 
 
 def row_text(cells: Column) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from rillflow.operators.joins import lookup
+from rillflow.operators.joins import lookup, within_limit
 from rillflow.session import pin
 
 #: Kept between the numbers of two scans that are read as one.
@@ -27,8 +27,8 @@ def with_block(source: DataFrame, *columns: Column) -> DataFrame:
     )
 
 
-def stage(rows: DataFrame, path: str, nth_scan: int = 0) -> int:
-    """Write rows with their place; returns their number."""
+def stage(rows: DataFrame, path: str, nth_scan: int = 0, **totals: Column) -> dict[str, int]:
+    """Write rows with their place; returns their number (``rows``) and further totals of the same pass."""
     seen = Observation()
     rows = rows.withColumns(
         {
@@ -36,9 +36,9 @@ def stage(rows: DataFrame, path: str, nth_scan: int = 0) -> int:
             "_key": F.xxhash64("_file", "_block"),
         }
     )
-    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in totals.items()])
     rows.write.mode("overwrite").parquet(path)
-    return int(seen.get["rows"])
+    return {n: int(v or 0) for n, v in seen.get.items()}
 
 
 def blocks_of(staged: DataFrame, **totals: Column) -> DataFrame:
@@ -51,10 +51,15 @@ def blocks_of(staged: DataFrame, **totals: Column) -> DataFrame:
     return pin(blocks)
 
 
-def require_own_keys(blocks: DataFrame) -> None:
-    """Two blocks of one key would mix their positions; among a million it happens once in 40 million runs."""
-    if not blocks.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+def count_blocks(blocks: DataFrame) -> tuple[int, int]:
+    """Number of blocks and of their rows.
+
+    Two blocks of one key would mix their positions; among a million it happens once in 40 million runs.
+    """
+    n, keys, rows = blocks.agg(F.count(F.lit(1)), F.count_distinct("_key"), F.sum("_rows")).first()
+    if n != keys:
         raise RuntimeError("two file blocks have the same hash; read the files in two folders")
+    return n, rows or 0
 
 
 def shifts(blocks: DataFrame, skipped: Column | None = None, start: int = 0) -> Column:
@@ -69,7 +74,7 @@ def shifts(blocks: DataFrame, skipped: Column | None = None, start: int = 0) ->
 def number_rows(staged: DataFrame, columns: list[str], start: int = 0) -> DataFrame:
     """Staged rows with ``row_index`` from ``start`` on, blocks in order of path and offset."""
     blocks = blocks_of(staged)
-    require_own_keys(blocks)
+    n, _ = count_blocks(blocks)
     table = blocks.select("_key", shifts(blocks, start=start).alias("_shift"))
-    numbered = lookup(staged, table, "_key", row_id="_at")
+    numbered = lookup(staged, table, "_key", row_id="_at", small_fits=within_limit(16 * n))
     return numbered.select((F.col("_at") + F.col("_shift")).alias("row_index"), *columns)

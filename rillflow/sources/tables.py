@@ -79,7 +79,7 @@ def land(
         return landed.text(columns), landed.n
     source = scan(spark, path, fmt=fmt)
     require_columns(source, columns)
-    n = stage(with_block(source, *[F.col(c).cast("string").alias(c) for c in columns]), folder)
+    n = stage(with_block(source, *[F.col(c).cast("string").alias(c) for c in columns]), folder)["rows"]
     return blank_na(number_rows(spark.read.parquet(folder), columns, start)), n
 
 
