@@ -245,6 +245,24 @@ _WINDOWS = """
               THEN 0 ELSE 1 END AS starts FROM {}))
         GROUP BY session_id, part"""
 
+_REPORT = """
+        SELECT 'row_counts' AS section, source AS item, 'extracted' AS sub_item,
+          CAST(n AS DOUBLE) AS value FROM extracted
+        UNION ALL SELECT 'row_counts', source, 'quarantined', count(*) FROM reasons
+          WHERE rejection_reason IS NOT NULL GROUP BY source
+        UNION ALL SELECT 'rows_loaded', layer, name, n FROM loads
+        UNION ALL SELECT 'quarantine_breakdown', source, rejection_reason, count(*) FROM reasons
+          WHERE rejection_reason IS NOT NULL GROUP BY source, rejection_reason
+        UNION ALL SELECT 'quality_observations', observation, NULL, round(rate, 6)
+          FROM observations
+        UNION ALL SELECT 'session_anomalies', name, NULL, n FROM anomalies
+        UNION ALL SELECT 'session_anomalies', 'null_sk_in_fact', NULL, count(*) FROM fact
+          WHERE user_sk IS NULL OR product_sk IS NULL
+        UNION ALL SELECT 'post_load_checks', 'orphan_user_sk_check', 'passed', 0
+        UNION ALL SELECT 'post_load_checks', 'duplicate_log_id_check', 'passed', 0
+        UNION ALL SELECT 'post_load_checks', 'negative_session_duration_check', 'passed', 0
+        UNION ALL SELECT 'post_load_checks', 'null_sk_check', 'passed', 0"""
+
 _RULE = "SELECT '{0}' AS rule, {1} AS observed, {2} AS threshold, {1} > {2} AS triggered"
 _ANOMALY = "(SELECT CAST(n AS DOUBLE) FROM anomalies WHERE name = '{0}')"
 _RATE = """(SELECT round(count(*) * 1.0 / (SELECT sum(n) FROM extracted), 6) FROM reasons
@@ -467,23 +485,29 @@ _BODIES: dict[str, str] = {
               || ',"email":' || coalesce('"' || email || '"', 'null') || ',"signup_date":"invalid_date"}' END AS raw_row
         FROM raw_users WHERE user_id IS NOT NULL AND (user_id % 50 IN (7, 8) OR signup_text = 'invalid_date')""",
     "staged_scan_typed": "SELECT product_id, product_name, price FROM raw_products",
-    "full_run_report": """
-        SELECT 'row_counts' AS section, source AS item, 'extracted' AS sub_item,
-          CAST(n AS DOUBLE) AS value FROM extracted
-        UNION ALL SELECT 'row_counts', source, 'quarantined', count(*) FROM reasons
-          WHERE rejection_reason IS NOT NULL GROUP BY source
-        UNION ALL SELECT 'rows_loaded', layer, name, n FROM loads
-        UNION ALL SELECT 'quarantine_breakdown', source, rejection_reason, count(*) FROM reasons
-          WHERE rejection_reason IS NOT NULL GROUP BY source, rejection_reason
-        UNION ALL SELECT 'quality_observations', observation, NULL, round(rate, 6)
-          FROM observations
-        UNION ALL SELECT 'session_anomalies', name, NULL, n FROM anomalies
-        UNION ALL SELECT 'session_anomalies', 'null_sk_in_fact', NULL, count(*) FROM fact
-          WHERE user_sk IS NULL OR product_sk IS NULL
-        UNION ALL SELECT 'post_load_checks', 'orphan_user_sk_check', 'passed', 0
-        UNION ALL SELECT 'post_load_checks', 'duplicate_log_id_check', 'passed', 0
-        UNION ALL SELECT 'post_load_checks', 'negative_session_duration_check', 'passed', 0
-        UNION ALL SELECT 'post_load_checks', 'null_sk_check', 'passed', 0""",
+    "full_run_report": _REPORT,
+    "report_ranked": f"""SELECT section, item, sub_item, CAST(row_number() OVER (PARTITION BY section
+        ORDER BY CASE WHEN section = 'quarantine_breakdown' THEN -value ELSE 0 END NULLS FIRST,
+          item NULLS FIRST, sub_item NULLS FIRST) AS INTEGER) AS rank FROM ({_REPORT})""",
+    "audit_rows_with_paths": """
+        SELECT CAST(1 AS BIGINT) AS audit_id, 'bronze' AS layer,
+          (SELECT CAST(sum(n) AS BIGINT) FROM extracted) AS rows_extracted,
+          (SELECT count(*) FROM reasons WHERE rejection_reason IS NOT NULL) AS rows_quarantined,
+          (SELECT CAST(sum(n) AS BIGINT) FROM loads WHERE layer = 'bronze') AS rows_loaded,
+          'SUCCESS' AS status, (SELECT string_agg('quarantine/source=' || source
+            || '/etl_run_date=2024-02-01/etl_run_id=run-0001', ';' ORDER BY source) FROM
+            (SELECT DISTINCT source FROM reasons WHERE rejection_reason IS NOT NULL)) AS quarantine_path
+        UNION ALL SELECT CAST(i AS BIGINT), layer, 0, 0,
+          (SELECT CAST(sum(n) AS BIGINT) FROM loads WHERE loads.layer = v.layer), 'SUCCESS', ''
+          FROM (VALUES (2, 'silver'), (3, 'gold')) v(i, layer)""",
+    "gold_export": "SELECT * FROM fact",
+    "silver_session_order": """SELECT session_id, row_index, CAST(row_number() OVER (PARTITION BY session_id
+        ORDER BY action_ts, row_index) AS INTEGER) AS place FROM logs_ok""",
+    "long_sessions_running": """SELECT session_id, session_duration_s FROM agg
+        WHERE session_duration_s >
+          (SELECT avg(session_duration_s) + 2 * stddev_samp(session_duration_s) FROM agg)""",
+    "check_negative_duration_broken": """SELECT count(*) AS invalid_duration_count FROM agg
+        WHERE total_views = 0 OR session_duration_s < 0""",
     "layer_inventory": """SELECT 'users' AS source, count(*) AS "rows" FROM users_ok
         UNION ALL SELECT 'products', count(*) FROM products_ok""",
     "stream_weblogs_classified": "SELECT row_index, rejection_reason FROM logs_judged",

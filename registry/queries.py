@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from registry.frames import RUN_1, RUN_2, Frames
 from rillflow.functions import scalars
 from rillflow.operators import dedupe, quality, sessions
 from rillflow.plans import bi, checks, gold, pipeline, report, silver
-from rillflow.schemas import BRONZE, DIM_PRODUCT, DIM_USER, RAW_COLUMNS, table
+from rillflow.schemas import BRONZE, DIM_PRODUCT, DIM_USER, RAW_COLUMNS, SILVER, table
 from rillflow.session import fresh_folder, pin
 from rillflow.sources.lake import Lake
 from rillflow.sources.tables import CSV_OPTIONS, land, load_by_name, project, typed_scan
@@ -458,6 +458,13 @@ def check_negative_duration(f: Frames) -> DataFrame:
     return checks.negative_durations(f.agg)
 
 
+@query
+def check_negative_duration_broken(f: Frames) -> DataFrame:
+    """Sessions without a view are given a duration below zero."""
+    turned = F.when(F.col("total_views") == 0, -1 - F.col("session_duration_s")).otherwise(F.col("session_duration_s"))
+    return checks.negative_durations(f.agg.withColumn("session_duration_s", turned))
+
+
 @query
 def check_null_sk(f: Frames) -> DataFrame:
     return checks.null_keys(f.fact)
@@ -669,6 +676,67 @@ def full_run_report(f: Frames) -> DataFrame:
     return kept.select("section", "item", "sub_item", number.alias("value"))
 
 
+def _whole_run(f: Frames) -> tuple[Lake, DataFrame]:
+    lake, paths = whole_run_inputs(f.spark, f.sf_dir)
+    lake.init_gold(RUN_1)
+    return lake, pipeline.run(lake, paths, RUN_1)
+
+
+@query
+def report_ranked(f: Frames) -> DataFrame:
+    """The report of a whole run in its order: the place of each row in its section."""
+    _, rows = _whole_run(f)
+    kept = rows.where(~F.col("section").isin("quarantine_paths", "run", "recommendations"))
+    return kept.select("section", "item", "sub_item", "rank")
+
+
+@query
+def audit_rows_with_paths(f: Frames) -> DataFrame:
+    """The audit log of a whole run; quarantine paths without the folder of the lake."""
+    lake, _ = _whole_run(f)
+    paths = F.replace("quarantine_path", F.lit(f"{lake.root}/"), F.lit(""))
+    return lake.read_gold("etl_audit_log").select(
+        "audit_id", "layer", "rows_extracted", "rows_quarantined", "rows_loaded", "status",
+        paths.alias("quarantine_path"),
+    )
+
+
+@query
+def gold_export(f: Frames) -> DataFrame:
+    """Facts as the export of a whole run holds them."""
+    lake, _ = _whole_run(f)
+    lake.export(RUN_1)
+    return f.spark.read.parquet(f"{lake.root}/export/fact_user_activity").drop("activity_id")
+
+
+@query
+def silver_session_order(f: Frames) -> DataFrame:
+    """Where each log stands among those of its session in the files of Silver."""
+    lake = Lake(f.spark, fresh_folder(f.spark, "lake"))
+    lake.write_silver(silver.in_session_order(f.silver), "weblogs_clean", RUN_1)
+    # a file holds one range of the order, and its rows in order
+    rows = lake.read_silver("weblogs_clean").select(
+        "session_id", "row_index", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")
+    )
+    place = F.row_number().over(Window.partitionBy("session_id").orderBy("file", "at"))
+    return rows.select("session_id", "row_index", place.alias("place"))
+
+
+@query
+def long_sessions_running(f: Frames) -> DataFrame:
+    """Unusually long sessions after two loads, by the moments that each load noted."""
+    lake = Lake(f.spark, fresh_folder(f.spark, "lake"))
+    lake.init_gold(RUN_1)
+    lake.write_dim(f.dim_user, "dim_user", RUN_1)
+    for k, run in enumerate((RUN_1, RUN_2)):
+        half = silver.to_silver(f.weblogs, run).where(F.pmod(F.crc32("session_id"), F.lit(2)) == k)
+        absent = [c for c in SILVER["weblogs_clean"].fields if c.name not in half.columns]
+        half = half.select("*", *[F.lit(None).cast(c.dataType).alias(c.name) for c in absent])
+        pipeline.write_logs(lake, run, half.select(*SILVER["weblogs_clean"].names))
+        pipeline.load_sessions(lake)
+    return rounded(bi.long_sessions_running(lake))
+
+
 @query
 def layer_inventory(f: Frames) -> DataFrame:
     """Rows per Bronze partition, summed over its files."""

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.scalars import safe_ratio
 from rillflow.operators.sessions import long_limit
+from rillflow.schemas import LONG_SESSION_STDDEVS
+from rillflow.sources.lake import Lake
 
 
 def most_viewed_products(fact: DataFrame, dim_product: DataFrame, top: int = 20) -> DataFrame:
@@ -103,6 +105,14 @@ def long_sessions(agg: DataFrame) -> DataFrame:
     return agg.where(F.col("session_duration_s") > limit).select("session_id", "session_duration_s")
 
 
+def long_sessions_running(lake: Lake, std_devs: float = LONG_SESSION_STDDEVS) -> DataFrame:
+    """The same from the moments that the loads noted: one pass, which the limit prunes."""
+    agg = lake.read_gold("agg_session_metrics")
+    limit = lake.gold_moments("agg_session_metrics").limit(std_devs)
+    longer = F.col("session_duration_s") > F.lit(limit).cast("double")
+    return agg.where(longer).select("session_id", "session_duration_s")
+
+
 def signup_cohorts(agg: DataFrame, dim_user: DataFrame) -> DataFrame:
     """After the sum each user is one row, so the row count is the number of active users."""
     dated = _purchases_by_user(agg).join(dim_user.select("user_sk", "signup_date"), "user_sk")

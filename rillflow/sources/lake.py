@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.context import RunContext
+from rillflow.operators import moments
 from rillflow.schemas import BRONZE, GOLD, METRICS, QUARANTINE, REPORT, RUNS, SILVER, SILVER_PARTITIONS, table
 from rillflow.session import remove, together
 from rillflow.sources.commits import Commits
@@ -38,6 +39,9 @@ _FORMAT_OPTIONS = {
         "emptyValue": "",
     },
 }
+#: Gold columns whose moments are noted with each load.
+MEASURED = {"agg_session_metrics": "session_duration_s"}
+_MOMENTS = table("n long, mean double, m2 double")
 _VERSIONS = table("version long, etl_run_id string")
 _COMMITTED = ("bronze", "quarantine", "silver")
 _PART = T.StructField("part_id", T.LongType(), True)
@@ -63,7 +67,7 @@ class Lake:
             df = df.drop("_change")
         writer = df.write.format(self.fmt).options(**_FORMAT_OPTIONS[self.fmt]).mode(mode)
         (writer.partitionBy(*by) if by else writer).save(path)
-        return {n: int(v or 0) for n, v in seen.get.items()}
+        return {n: v if isinstance(v, float) else int(v or 0) for n, v in seen.get.items()}
 
     def _read(self, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
         reader = self.spark.read.format(self.fmt).options(**_FORMAT_OPTIONS[self.fmt])
@@ -213,6 +217,9 @@ class Lake:
             else:
                 none = self.spark.createDataFrame([], RUNS).drop("stage")
                 none.write.mode("overwrite").parquet(self.path("_runs", stage=name))
+                if name in MEASURED:
+                    none = self.spark.createDataFrame([], _MOMENTS)
+                    none.write.mode("overwrite").parquet(self.path("_moments", name=name))
                 kept = empty if name == "etl_audit_log" else empty.drop("etl_run_date")
                 self._write(kept, self.path("gold", name), "overwrite")
 
@@ -240,13 +247,33 @@ class Lake:
 
     def append_gold(self, df: DataFrame, name: str, *, sort: list[str]) -> dict[str, int]:
         """Append by load date, sorted inside each file so that min/max skipping works."""
-        df = df.select(*GOLD[name].names).sortWithinPartitions("etl_run_date", *sort)
-        return self._write(df, self.path("gold", name), "append", by=["etl_run_date"])
+        return self._load_gold(df, name, sort, "append")
 
     def overwrite_gold(self, df: DataFrame, name: str, *, sort: list[str]) -> dict[str, int]:
         """Replace all days; ``df`` must not read this table."""
+        return self._load_gold(df, name, sort, "overwrite")
+
+    def _load_gold(self, df: DataFrame, name: str, sort: list[str], mode: str) -> dict[str, int]:
         df = df.select(*GOLD[name].names).sortWithinPartitions("etl_run_date", *sort)
-        return self._write(df, self.path("gold", name), "overwrite", by=["etl_run_date"])
+        measured = moments.columns(MEASURED[name]) if name in MEASURED else None
+        out = self._write(df, self.path("gold", name), mode, by=["etl_run_date"], counts=measured)
+        if measured:
+            part = self.spark.createDataFrame([(out["n"], out["mean"], out["m2"])], _MOMENTS)
+            part.coalesce(1).write.mode(mode).parquet(self.path("_moments", name=name))
+        return out
+
+    def gold_moments(self, name: str) -> moments.Moments:
+        """Moments of the table's measured column, merged from those of its loads.
+
+        A load that stopped between its rows and its note left the table with more rows than were
+        noted (a count from file footers tells); then the moments are taken from the table again.
+        """
+        noted = Lake(self.spark, self.root)._read(self.path("_moments", name=name), _MOMENTS)
+        merged = moments.merge(moments.Moments(*r) for r in noted.collect())  # a row per load
+        rows = self.read_gold(name)
+        if merged.n == rows.where(F.col(MEASURED[name]).isNotNull()).count():
+            return merged
+        return moments.moments(rows, MEASURED[name])
 
     def replace_gold_day(self, df: DataFrame, name: str, ctx: RunContext) -> dict[str, int]:
         day = self.path("gold", name, etl_run_date=ctx.run_date)
