@@ -49,6 +49,15 @@ STEPS: dict[str, str] = {
         UNION ALL
         SELECT 1000000000 + p_partkey, NULL, p_name, p_type, p_retailprice
         FROM part WHERE p_partkey % 100 = 50""",
+    "times": """
+        SELECT event_id AS row_index, ts,
+          CASE event_id // 500 % 7 WHEN 6 THEN event_id % 6 ELSE event_id // 500 % 6 END AS form,
+          event_id % 11 <> 3 AS readable, event_id // 500 AS chunk FROM events""",
+    "times_utc": """
+        SELECT *, CASE WHEN readable THEN CASE form WHEN 3 THEN ts - INTERVAL 2 HOUR
+            WHEN 4 THEN ts + INTERVAL 330 MINUTE WHEN 5 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+            ELSE ts END END AS utc,
+          CASE form WHEN 2 THEN 24 WHEN 4 THEN 24 ELSE form END AS look FROM times""",
     "users_latest": """
         SELECT * FROM raw_users r WHERE user_id IS NULL OR row_index =
           (SELECT max(row_index) FROM raw_users o WHERE o.user_id = r.user_id)""",
@@ -307,6 +316,10 @@ _BODIES: dict[str, str] = {
     "schema_required_mask": """SELECT row_index, log_id IS NOT NULL AND user_id IS NOT NULL
         AND product_id IS NOT NULL AND session_id IS NOT NULL AS is_complete FROM raw_weblogs""",
     "parse_timestamp": "SELECT row_index, ts_value AS action_ts FROM logs_typed",
+    "parse_timestamp_utc": "SELECT row_index, utc AS ts FROM times_utc",
+    "parse_timestamp_by_chunk": """SELECT t.row_index, CASE WHEN NOT f.readable OR t.look = f.look THEN t.utc END AS ts
+        FROM times_utc t JOIN (SELECT chunk, arg_min(look, row_index) AS look,
+          arg_min(readable, row_index) AS readable FROM times_utc GROUP BY chunk) f USING (chunk)""",
     "valid_email": """SELECT row_index, coalesce(regexp_matches(email,
         '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$'), false) AS is_valid FROM raw_users""",
     "valid_session": """SELECT row_index, coalesce(regexp_matches(session_id, '^sess_[0-9]+$'), false)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from registry.frames import RUN_1, RUN_2, Frames
 from rillflow.functions import scalars
-from rillflow.operators import dedupe, quality, sessions
+from rillflow.operators import dedupe, formats, quality, sessions
 from rillflow.plans import bi, checks, gold, pipeline, report, silver
 from rillflow.schemas import BRONZE, DIM_PRODUCT, DIM_USER, RAW_COLUMNS, SILVER, table
 from rillflow.session import fresh_folder, pin
@@ -181,6 +181,35 @@ def parse_timestamp(f: Frames) -> DataFrame:
     return f.raw("weblogs").select("row_index", scalars.parse_timestamp(text).alias("action_ts"))
 
 
+def _zoned_times(f: Frames) -> DataFrame:
+    """Log times in six forms: plain, with T, and with four ways to write a zone."""
+    form = """CASE event_id DIV 500 % 7 WHEN 6 THEN event_id % 6 ELSE event_id DIV 500 % 6 END"""
+    times = f.table("events").select(
+        F.col("event_id").alias("row_index"),
+        F.expr(form).alias("form"),
+        F.expr("date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS')").alias("plain"),
+    )
+    t = "translate(plain, ' ', 'T')"
+    text = F.expr(
+        f"""CASE form WHEN 0 THEN plain WHEN 1 THEN {t} WHEN 2 THEN concat({t}, 'Z')
+            WHEN 3 THEN concat(plain, '+02:00') WHEN 4 THEN concat({t}, '-0530') ELSE substr(plain, 1, 10) END"""
+    )
+    return times.select("row_index", F.when(F.col("row_index") % 11 != 3, text).otherwise("no time").alias("text"))
+
+
+@query
+def parse_timestamp_utc(f: Frames) -> DataFrame:
+    """Texts with a zone as times in UTC."""
+    return _zoned_times(f).select("row_index", scalars.parse_timestamp(F.col("text"), "utc").alias("ts"))
+
+
+@query
+def parse_timestamp_by_chunk(f: Frames) -> DataFrame:
+    """Each 500 rows by the format of their first value."""
+    rows = formats.parse_by_first_format(_zoned_times(f), "text", "ts", chunk_rows=500, zone="utc")
+    return rows.select("row_index", "ts")
+
+
 @query
 def valid_email(f: Frames) -> DataFrame:
     return f.raw("users").select("row_index", scalars.valid_email(F.col("email")).alias("is_valid"))

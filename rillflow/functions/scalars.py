@@ -28,6 +28,10 @@ ISO_PATTERN = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
     r"([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?)?$"
 )
+ZONED_PATTERN = (
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?"
+    r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+)
 NUMBER_PATTERN = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
@@ -59,9 +63,25 @@ def to_id(text: Column) -> Column:
     )
 
 
-def parse_timestamp(text: Column) -> Column:
-    """ISO date or date-time without zone, else NULL."""
-    return F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp_ntz"))
+def parse_timestamp(text: Column, zone: str = "reject") -> Column:
+    """ISO date or date-time, else NULL.
+
+    Text with a zone (``Z``, ``+02``, ``+02:00``, ``+0200``) is NULL as well, or with ``zone="utc"``
+    the time it names in UTC; text without one stays as it is.
+    """
+    if zone not in ("reject", "utc"):
+        raise ValueError(f"Unknown zone rule: {zone!r}")
+    plain = F.when(text.rlike(ISO_PATTERN), text.try_cast("timestamp_ntz"))
+    if zone == "reject":
+        return plain
+    # the cast wants seconds before a zone and a colon inside it
+    full = F.regexp_replace(text, r"([T ][0-9]{2}:[0-9]{2})(Z|[+-])", "$1:00$2")
+    full = F.regexp_replace(full, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2")
+    instant = F.unix_micros(full.try_cast("timestamp"))
+    # no session zone takes part: microseconds since the epoch, added to it
+    seconds = instant.cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(20,0)")
+    span = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+    return plain.when(text.rlike(ZONED_PATTERN), F.expr(EPOCH) + span)
 
 
 def valid_email(text: Column) -> Column:
