@@ -41,7 +41,7 @@ MIN_DOCS, TOP_TERMS = 3, 200
 #: Term ids of a chunk.
 CHUNK = 1 << 16
 #: Bytes of text split at once, and words interned at once.
-SLICE, WINDOW = 16 << 20, 1 << 20
+SLICE, WINDOW = 8 << 20, 1 << 19
 
 
 def text_column(name: str) -> Column:
