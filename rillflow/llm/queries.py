@@ -43,7 +43,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mix = mixing.mix(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "rate", "copies")
 
 
 def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
