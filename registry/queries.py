@@ -742,7 +742,9 @@ def gold_export(f: Frames) -> DataFrame:
 def silver_session_order(f: Frames) -> DataFrame:
     """Where each log stands among those of its session in the files of Silver."""
     lake = Lake(f.spark, fresh_folder(f.spark, "lake"))
-    lake.write_silver(silver.in_session_order(f.silver), "weblogs_clean", RUN_1)
+    fits = f.fits
+    logs = silver.ordered(f.silver_plain, f.users, f.products, **fits)
+    lake.write_silver(logs, "weblogs_clean", RUN_1)
     # a file holds one range of the order, and its rows in order
     rows = lake.read_silver("weblogs_clean").select(
         "session_id", "row_index", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")

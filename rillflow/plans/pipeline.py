@@ -24,7 +24,7 @@ from rillflow.operators.sessions import anomaly_counts, gold_session_metrics, se
 from rillflow.operators.upsert import next_key
 from rillflow.plans import gold, report
 from rillflow.plans.checks import run_checks
-from rillflow.plans.silver import enrich, in_session_order, snapshot, to_silver
+from rillflow.plans.silver import ordered, snapshot, to_silver
 from rillflow.schemas import BRONZE, RAW_COLUMNS
 from rillflow.session import together
 from rillflow.sources.lake import Lake
@@ -110,7 +110,7 @@ def build_silver(lake: Lake, ctx: RunContext, rows: Rows, **fits: bool) -> None:
         note(dataset, lake.write_silver(df, dataset, ctx)["rows"])
 
     def write_all_logs() -> None:
-        note("weblogs_clean", write_logs(lake, ctx, in_session_order(enrich(logs, users, products, **fits))))
+        note("weblogs_clean", write_logs(lake, ctx, ordered(logs, users, products, **fits)))
 
     together(
         write_all_logs,
