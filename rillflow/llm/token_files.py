@@ -2,7 +2,7 @@
 
 ``tokenize``  text -> ids with the tokenizers library.  A text is cut before single blanks between
     two other characters, where byte-level BPE always ends a piece, and each piece is encoded once
-    per worker: the joined ids equal those of the whole text.
+    per worker: the joined ids equal those of the whole text.  Each task notes its counts by id.
 ``ranks``     ids by falling frequency over all documents (ties: smaller id first).
 ``write``     documents in ascending doc_id order.  An id is stored as its rank in 1 to 4 bytes,
     little-endian; the lengths stand apart, two bits each, four in a control byte.  A row of the
@@ -11,6 +11,7 @@
 
 Null text counts as empty (the end token alone).  Null doc_ids come first, repeated ones stay side
 by side in the order of their checksums; extra columns are left out; an empty table makes no block.
+A very long text is encoded alone and is one block of its own, however many tokens it has.
 """
 
 from __future__ import annotations
@@ -35,15 +36,75 @@ from rillflow.session import fresh_folder, pin, reducers
 BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 25
 #: Pieces that a worker remembers; beyond that it starts anew.  Bounds memory, not results.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 1_000_000
 #: Bytes of text that are encoded together, about.
-SLICE_BYTES = 1 << 22
+SLICE_BYTES = 1 << 23
 
 _loaded: dict = {}
 
 
-#: Text in which a blank is next to other white space, or that has the mark used for cutting.
-UNEVEN = r"(^|[\s\p{Z}\x1c-\x1f\x{85}]) | ([\s\p{Z}\x1c-\x1f\x{85}]|$)|\x01"
+#: White space beyond ASCII, in texts with which only ASCII characters count as solid.
+WIDE_BLANK = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: A piece without white space, but for one blank in front.
+PLAIN = r"^ ?[^\x00-\x20\x7F\x{85}\p{Z}]+$"
+MARKS = ".,!#*&%$"
+
+_BYTE = np.arange(256)
+_ASCII_LETTER = np.isin(_BYTE, [*range(65, 91), *range(97, 123)])
+_SOLID = (_BYTE > 32) & (_BYTE != 127)
+_MARK = np.isin(_BYTE, list(MARKS.encode()))
+
+
+def letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a letter ends, and whether one begins, at each byte: ASCII and U+00C0 to U+017F alone."""
+    begins, ends = _ASCII_LETTER[data], _ASCII_LETTER[data]
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC5))
+    sign = (data[lead] == 0xC3) & ((data[lead + 1] == 0x97) | (data[lead + 1] == 0xB7))  # two signs among them
+    lead = lead[~sign]
+    begins[lead] = True
+    ends[lead + 1] = True
+    return begins, ends
+
+
+def cut(texts: pa.Array, at_lines: bool) -> tuple[pa.Array, np.ndarray]:
+    """All texts' pieces one after another, and the number of pieces of each text.
+
+    A piece ends before a blank between two solid characters.  With ``at_lines`` also between a
+    letter and a mark, and on both sides of a line feed between two words.  Where it is not known
+    that a tokenizer starts a new piece there is no cut, which is always right.
+    """
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    if offsets[-1] == offsets[0]:
+        return pa.array([], pa.large_string()), np.zeros(len(texts), np.int64)
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    solid = _SOLID[raw]
+    odd = pc.match_substring_regex(texts, WIDE_BLANK).to_numpy(zero_copy_only=False)
+    if odd.any():
+        solid &= ~(np.repeat(odd, np.diff(offsets)) & (raw >= 128))
+    some = offsets[:-1][np.diff(offsets) > 0]
+    inner = np.ones(len(raw), bool)
+    inner[some] = inner[np.append(some[1:], len(raw)) - 1] = False
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[some] = True
+    blank = np.flatnonzero((raw == 32) & inner)
+    edge[blank[solid[blank - 1] & solid[blank + 1]]] = True
+    if at_lines:
+        begins, ends = letters(raw)
+        mark = np.flatnonzero(_MARK[raw[1:]]) + 1
+        edge[mark[ends[mark - 1]]] = True
+        line = np.flatnonzero((raw == 10) & inner)
+        before = ends[line - 1] | (raw[line - 1] == 46) | (raw[line - 1] == 44)
+        line = line[before & begins[line + 1]]
+        edge[line] = edge[line + 1] = True
+    edge[-1] = True
+    bounds = np.flatnonzero(edge)
+    found = pa.LargeStringArray.from_buffers(
+        len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))
+    )
+    return found, np.diff(np.searchsorted(bounds, offsets))
 
 
 class Encoder:
@@ -57,24 +118,27 @@ class Encoder:
         line = ids("\n")
         # true of tokenizers that split words, marks and line feeds before they merge bytes
         joins = all(ids(f"a\n{b}") == [*ids("a"), *line, *ids(b)] for b in (" b", "b", "1", " .", "."))
-        joins &= all(ids(f"the{m}") == [*ids("the"), *ids(m)] for m in ".,!#*&%$")
+        joins &= all(ids(f"the{m}") == [*ids("the"), *ids(m)] for m in MARKS)
+        joins &= all(ids(f"the{m}\nb") == [*ids("the"), *ids(m), *line, *ids("b")] for m in ".,")
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        joins &= not any(a.isalpha() and b in ".,!#*&%$\n" for t in added for a, b in zip(t, t[1:]))
+        joins &= not any(a.isalpha() and b in MARKS + "\n" for t in added for a, b in zip(t, t[1:]))
         self.line = line[0] if len(line) == 1 and joins else None
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.table = [np.zeros(0, np.uint32)]
-        self.sizes: list[np.ndarray] = [np.zeros(0, np.int64)]
-
-    def learn(self, new: list[str]) -> None:
-        """Encodes pieces, plain words a thousand at a time: line feeds between them end a piece."""
-        plain, rest = [], []
-        for p in new:
-            bare = p[1:] if p[:1] == " " else p
-            (plain if self.line is not None and bare.split() == [bare] else rest).append(p)
+        self.known = pa.array([], pa.large_string())
+        self.table = np.zeros(0, np.uint32)
+        self.sizes = np.zeros(0, np.int64)
+
+    def learn(self, new: pa.Array) -> pa.Array:
+        """Encodes pieces, plain words a thousand at a time, as line feeds between them end a piece.
+
+        Returns them in the order in which they are known from now on.
+        """
+        easy = pc.match_substring_regex(new, PLAIN) if self.line is not None else pa.array([False] * len(new))
+        plain, rest = new.filter(easy).to_pylist(), new.filter(pc.invert(easy)).to_pylist()
         groups = [plain[i : i + 1_000] for i in range(0, len(plain), 1_000)]
+        names, sizes, table = [], [self.sizes], [self.table]
         texts = ["\n".join(g) for g in groups]
         for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
@@ -82,64 +146,39 @@ class Encoder:
             if len(ends) != len(group) - 1:
                 rest += group
                 continue
-            self.add(group, np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1, ids[ids != self.line])
+            names += group
+            sizes.append(np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1)
+            table.append(ids[ids != self.line])
         if rest:
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
-            self.add(rest, np.array([len(i) for i in ids], np.int64), np.array([x for i in ids for x in i], np.uint32))
-        self.table, self.sizes = [np.concatenate(self.table)], [np.concatenate(self.sizes)]
-
-    def add(self, names: list[str], sizes: np.ndarray, ids: np.ndarray) -> None:
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names))))
-        self.sizes.append(sizes.astype(np.int64))
-        self.table.append(ids)
+            coded = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            names += rest
+            sizes.append(np.array([len(i) for i in coded], np.int64))
+            table.append(np.array([x for i in coded for x in i], np.uint32))
+        self.table, self.sizes = np.concatenate(table), np.concatenate(sizes)
+        ordered = pa.array(names, pa.large_string())
+        self.known = pa.concat_arrays([self.known, ordered])
+        return ordered
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after another, and the number of ids of each."""
         if len(self.known) > KNOWN_PIECES:
             self.forget()
-        marked = pc.replace_substring(texts, " ", "\x01 ")
-        if self.line is not None:
-            # letters also end before a mark, and a single line feed stands alone between words
-            marked = pc.replace_substring_regex(marked, r"(\p{L})([.,!#*&%$])", "\\1\x01\\2")
-            marked = pc.replace_substring_regex(marked, r"([\p{L}.,])\n(\p{L})", "\\1\x01\n\x01\\2")
-        cut = pc.split_pattern(marked, "\x01")
-        uneven = pc.match_substring_regex(texts, UNEVEN).to_numpy(zero_copy_only=False)
-        if uneven.any():
-            where = np.flatnonzero(uneven)
-            slow = pa.array([pieces(texts[int(i)].as_py()) for i in where], cut.type)
-            order = np.arange(len(texts))
-            order[where] = len(texts) + np.arange(len(where))
-            cut = pa.concat_arrays([cut, slow]).take(pa.array(order))
-        counts = pc.list_value_length(cut).to_numpy(zero_copy_only=False).astype(np.int64)
-        coded = cut.flatten().dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        self.learn([p for p in names if p not in self.known])
-        number = np.array([self.known[p] for p in names], np.int64)
-        which = number[coded.indices.to_numpy()] if len(names) else np.zeros(0, np.int64)
-        sizes = self.sizes[0]
-        starts = np.cumsum(sizes) - sizes
-        own = sizes[which]
+        found, counts = cut(texts, self.line is not None)
+        at = pc.index_in(found, value_set=self.known)
+        which = pc.fill_null(at, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if at.null_count:
+            before = len(self.known)
+            missing = found.filter(pc.is_null(at))
+            fresh = self.learn(pc.unique(missing))
+            which[which < 0] = before + pc.index_in(missing, value_set=fresh).to_numpy(zero_copy_only=False)
+        own = self.sizes[which]
         ends = np.cumsum(own)
-        flat = self.table[0][np.repeat(starts[which] - (ends - own), own) + np.arange(int(own.sum()))]
+        starts = np.cumsum(self.sizes) - self.sizes
+        flat = self.table[np.repeat(starts[which] - (ends - own), own) + np.arange(int(own.sum()))]
         of_text = np.concatenate([[0], ends])[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
         return flat, np.diff(of_text, prepend=0)
 
 
-def pieces(text: str) -> list[str]:
-    """Cuts before each single blank that stands between two characters other than white space."""
-    parts = text.split(" ")
-    out, held = [], parts[0]
-    for part in parts[1:]:
-        if part and held and not part[0].isspace() and not held[-1].isspace():
-            out.append(held)
-            held = " " + part
-        else:
-            held += " " + part
-    if held:
-        out.append(held)
-    return out
-
-
 def encoder(model: str) -> Encoder:
     key = hash(model)
     if key not in _loaded:
@@ -148,63 +187,92 @@ def encoder(model: str) -> Encoder:
     return _loaded[key]
 
 
-def squeeze(ids: bytes) -> bytes:
+def squeeze(ids: bytes, press: zstandard.ZstdCompressor) -> bytes:
     planes = np.frombuffer(ids, np.uint8).reshape(-1, 4).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    return press.compress(np.ascontiguousarray(planes).tobytes())
 
 
-def stretch(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+def stretch(packed: bytes, press: zstandard.ZstdDecompressor) -> np.ndarray:
+    planes = np.frombuffer(press.decompress(packed), np.uint8)
     return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<u4")
 
 
 def tokenize(docs: DataFrame, model_path: str, end_id: int | None, text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_crc32, packed``: a row per document, the end token included."""
+    """``doc_id, n_tokens, ids_crc32, packed``: a row per document, the end token included.
+
+    ``counts`` is null there.  Each task adds a row of nulls with its counts by id, so that the
+    frequencies need no second pass over the tokens.
+    """
     model = Path(model_path).read_text(encoding="utf-8")  # one vocabulary file, of bounded size
     end = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(model)
+        own, press = encoder(model), zstandard.ZstdCompressor(level=1)
+        seen = np.zeros(0, np.int64)
         for batch in batches:
             for part in text_slices(batch, SLICE_BYTES):
-                yield encoded(own, part, end)
+                out, n = encoded(own, part, end, press)
+                size = max(len(n), len(seen))
+                seen = np.pad(seen, (0, size - len(seen))) + np.pad(n, (0, size - len(n)))
+                yield out
+        if seen.any():
+            none = [None]
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": none, "n_tokens": none, "ids_crc32": none, "packed": none,
+                 "counts": [press.compress(seen.astype("<i8").tobytes())]},
+                TOKENS,
+            )
 
     rows = docs.select(F.col("doc_id").cast("long"), whole_text(text).alias("text"))
-    return map_arrow(rows, run, "doc_id long, n_tokens long, ids_crc32 long, packed binary")
+    return map_arrow(rows, run, "doc_id long, n_tokens long, ids_crc32 long, packed binary, counts binary")
 
 
-def encoded(own: Encoder, part: pa.RecordBatch, end: np.ndarray) -> pa.RecordBatch:
+TOKENS = pa.schema(
+    [
+        ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
+        ("packed", pa.binary()), ("counts", pa.binary()),
+    ]
+)
+
+
+def encoded(
+    own: Encoder, part: pa.RecordBatch, end: np.ndarray, press: zstandard.ZstdCompressor
+) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The rows of a slice of documents, and how often each id is in them."""
     flat, sizes = own.texts(part["text"])
+    counts = np.bincount(flat).astype(np.int64)
+    for e in end:
+        counts = np.pad(counts, (0, max(0, int(e) + 1 - len(counts))))
+        counts[e] += len(sizes)
     ids = [
         np.concatenate([flat[b - n : b], end]).astype("<u4").tobytes()
         for b, n in zip(np.cumsum(sizes), sizes)
     ]
-    return pa.RecordBatch.from_arrays(
-        [
-            part["doc_id"],
-            pa.array([len(x) // 4 for x in ids], pa.int64()),
-            pa.array([zlib.crc32(x) for x in ids], pa.int64()),
-            pa.array([squeeze(x) for x in ids], pa.binary()),
-        ],
-        names=["doc_id", "n_tokens", "ids_crc32", "packed"],
-    )
+    columns = [
+        part["doc_id"],
+        pa.array([len(x) // 4 for x in ids], pa.int64()),
+        pa.array([zlib.crc32(x) for x in ids], pa.int64()),
+        pa.array([squeeze(x, press) for x in ids], pa.binary()),
+        pa.nulls(len(ids), pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(columns, schema=TOKENS), counts
 
 
 def ranks(tokens: DataFrame) -> np.ndarray:
     """Ids by falling frequency; the driver gets one count per id of the vocabulary, no more."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen = np.zeros(1, np.int64)
+        press, seen = zstandard.ZstdDecompressor(), np.zeros(0, np.int64)
         for batch in batches:
-            for packed in batch["packed"]:
-                n = np.bincount(stretch(packed))
-                if len(n) > len(seen):
-                    seen = np.pad(seen, (0, len(n) - len(seen)))
-                seen[: len(n)] += n
+            for packed in batch["counts"]:
+                n = np.frombuffer(press.decompress(packed), "<i8")
+                size = max(len(n), len(seen))
+                seen = np.pad(seen, (0, size - len(seen))) + np.pad(n, (0, size - len(n)))
         used = np.flatnonzero(seen)
         yield pd.DataFrame({"id": used, "n": seen[used]})
 
-    counts = map_pandas(tokens.select("packed"), run, "id long, n long").groupBy("id").agg(F.sum("n"))
+    noted = tokens.select("counts").where("counts IS NOT NULL")
+    counts = map_pandas(noted, run, "id long, n long").groupBy("id").agg(F.sum("n"))
     found = np.array(sorted((-n, i) for i, n in counts.collect()), np.int64).reshape(-1, 2)
     return found[:, 1].astype(np.uint32)
 
@@ -251,6 +319,7 @@ def write(tokens: DataFrame, path: str) -> None:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shard, block, first = TaskContext.get().partitionId(), 0, 0
         ids, lengths, coded, held = [], [], [], 0
+        press = zstandard.ZstdDecompressor()
 
         def flush() -> pd.DataFrame:
             control, data = pack(np.concatenate(coded))
@@ -263,7 +332,7 @@ def write(tokens: DataFrame, path: str) -> None:
 
         for batch in batches:
             for doc_id, packed in zip(batch["doc_id"].astype(object), batch["packed"]):
-                one = rank_of[stretch(packed)]
+                one = rank_of[stretch(packed, press)]
                 ids.append(None if pd.isna(doc_id) else int(doc_id))
                 lengths.append(len(one))
                 coded.append(one)
@@ -277,7 +346,9 @@ def write(tokens: DataFrame, path: str) -> None:
 
     shards = max(reducers(spark), -(-total // SHARD_TOKENS))
     ordered = (
-        tokens.repartitionByRange(shards, "doc_id", "ids_crc32")
+        tokens.where("counts IS NULL")
+        .select("doc_id", "ids_crc32", "packed")
+        .repartitionByRange(shards, "doc_id", "ids_crc32")
         .sortWithinPartitions("doc_id", "ids_crc32")
         .select("doc_id", "packed")
     )
@@ -318,8 +389,8 @@ def read(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
                     }
                 )
 
-    return map_pandas(blocks, 
-        run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
+    return map_pandas(
+        blocks, run, "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
     )
 
 
