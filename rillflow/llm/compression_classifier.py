@@ -6,11 +6,12 @@ pieces of ``PIECE`` bytes, all of it, and each piece is compressed with either d
 is high for texts that resemble the good ones.  A logistic curve, fitted on labelled texts that are in neither
 dictionary, turns this difference into a probability.
 
-The dictionaries and the curve come from at most ``SAMPLE`` labelled training texts of either class
-(a documented bound; one task holds them); scoring covers whole texts and runs without a shuffle.
+The dictionaries and the curve come from at most ``SAMPLE`` labelled training texts of either class,
+of those with at most ``SAMPLE_BYTES`` bytes (documented bounds; one task holds them); scoring covers
+whole texts and runs without a shuffle.
 The curve also takes how short a text is and how
 far it compresses at all, as repeated words leave little to tell.  Null and empty texts have
-difference 0.  Without labelled texts of both classes the score is the
+difference 0.  An empty table gives no rows; equal texts tie.  Without labelled texts of both classes the score is the
 share of good ones, or 0.5.  Repeated rows are scored alike; extra columns are left out.
 """
 
@@ -29,6 +30,7 @@ from rillflow.llm.labelled import training_sample
 from rillflow.session import pin
 
 SAMPLE = 3_000
+SAMPLE_BYTES = 100_000
 PIECE = 2_048
 DICTIONARY = 110_000
 #: Added to the compressed size, so that a few words are no strong evidence.
@@ -76,17 +78,28 @@ class Scale:
 
 
 def curve(design: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression with a light ridge, by Newton steps."""
+    """Logistic regression with a light ridge, by Newton steps until none lowers the loss.
+
+    A step that does not lower the strictly convex loss is halved, so each one that is taken does,
+    and the search ends by itself.
+    """
     beta = np.zeros(design.shape[1])
     ridge = np.full(design.shape[1], 1e-2)
-    for _ in range(60):
+
+    def loss(b: np.ndarray) -> float:
+        at = design @ b
+        return float((np.logaddexp(0, at) - y * at).sum() + (ridge * b * b).sum() / 2)
+
+    now = loss(beta)
+    while True:
         p = chance(design, beta)
         rise = (design * (p * (1 - p))[:, None]).T @ design + np.diag(ridge)
         step = np.linalg.solve(rise, design.T @ (y - p) - ridge * beta)
-        beta += np.clip(step, -20, 20)
-        if np.abs(step).max() < 1e-9:
-            break
-    return beta
+        while (new := loss(beta + step)) >= now and np.abs(step).max() >= 1e-9:
+            step = step / 2
+        if not new < now or np.abs(step).max() < 1e-9:
+            return beta
+        beta, now = beta + step, new
 
 
 def chance(design: np.ndarray, beta: np.ndarray) -> np.ndarray:
@@ -96,7 +109,11 @@ def chance(design: np.ndarray, beta: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality") -> tuple:
     """Dictionaries and the curve's weights; the first weight alone where a class is missing."""
     sample = pin(training_sample(labels, label, train, SAMPLE))
-    texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id")
+    texts = (
+        docs.select("doc_id", whole_text().alias("text"))
+        .where(F.octet_length("text") <= SAMPLE_BYTES)
+        .join(F.broadcast(sample), "doc_id")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(
@@ -113,7 +130,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, label: str = "quality
             beta = curve(design, np.array([float(y) for y, _ in rest])).tolist()
         yield pa.RecordBatch.from_pydict({"good": [good], "bad": [bad], "beta": [beta]})
 
-    one_task = texts.select("doc_id", "label", "part", "text").coalesce(1)  # bounded by SAMPLE
+    # all tasks scan, the chosen texts alone move into one: 2 * SAMPLE of SAMPLE_BYTES, at most
+    one_task = texts.select("doc_id", "label", "part", "text").repartition(1)
     row = map_arrow(one_task, run, "good binary, bad binary, beta array<double>").first()
     if row is None:  # no partition, so no task
         return b"", b"", np.zeros(5)
