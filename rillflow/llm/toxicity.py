@@ -180,12 +180,14 @@ def fit_and_score_with(docs: DataFrame, labels: DataFrame, train: Column) -> Dat
             F.broadcast(sample.where(F.col("part") < LEXICON_BELOW)), "doc_id"
         )
     )
-    every = pin(features(docs, lexicon))
+    every = features(docs, lexicon)
     known = pin(
-        every.join(chosen, "doc_id")
-        .where(F.col("part") >= LEXICON_BELOW)
+        features(docs.join(chosen.where(F.col("part") >= LEXICON_BELOW).select("doc_id"), "doc_id", "left_semi"), lexicon)
+        .join(chosen, "doc_id")
+        # all tasks scan, the chosen rows alone move; sorted, so that reruns add up alike
+        .repartition(2, "doc_id")
+        .sortWithinPartitions("doc_id", "features")
         .select(array_to_vector("features").alias("features"), F.col("label").cast("double"), "part")
-        .coalesce(2)
     )
     for_trees, for_curve = known.where(F.col("part") < TREES_BELOW), known.where(F.col("part") >= TREES_BELOW)
     both = lambda df: df.agg(F.countDistinct("label")).first()[0] == 2
