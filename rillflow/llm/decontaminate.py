@@ -44,6 +44,8 @@ BLOCK_WORDS = 500_000
 SLICE_BYTES = 1 << 23
 #: Places sampled for a key.
 SAMPLED = 3
+#: Walks tried for a class of items; where they miss the target recall, every window that passes the
+#: lossless filter is compared with every item of the class instead.
 MAX_REPEATS = 120
 TARGET_RECALL = 0.99
 #: Edits allowed: one in so many words of the item.
@@ -182,6 +184,9 @@ class Matcher:
         own = [i for i, (_, c) in enumerate(self.items) if length <= len(c) <= longest]
         # Edits may take words out before the window's end, so items are hashed at their start.
         repeats = self._enough(own, length, target)
+        edits = max(allowed(len(self.items[i][1])) for i in own)
+        if repeats is None:
+            return length, edits, None, own
         keys, which = [], []
         numbers = np.concatenate([self.items[i][1] for i in own])
         starts = np.cumsum([0] + [len(self.items[i][1]) for i in own[:-1]])
@@ -192,11 +197,13 @@ class Matcher:
         for k, w in zip(keys, which):
             order = np.argsort(k, kind="stable")
             table.append((k[order], w[order]))
-        edits = max(allowed(len(self.items[i][1])) for i in own)
         return length, edits, repeats, table
 
-    def _enough(self, own: list[int], length: int, target: float) -> list[Repeat]:
-        """As many repetitions as find the target share of items with all edits they may have."""
+    def _enough(self, own: list[int], length: int, target: float) -> list[Repeat] | None:
+        """As many repetitions as find the target share of items with all edits they may have.
+
+        None where ``MAX_REPEATS`` do not reach it.
+        """
         rng = np.random.default_rng(length)
         trial = [own[i % len(own)] for i in range(200)]
         before = [self.items[i][1] for i in trial]
@@ -213,7 +220,7 @@ class Matcher:
             found |= sides[0] == sides[1]
             if found.mean() >= target and n >= 4:
                 return repeats[:n]
-        return repeats
+        return None
 
     def _gram(self, numbers: np.ndarray, q: int) -> np.ndarray:
         """A code for each run of ``q`` words."""
@@ -266,6 +273,9 @@ class Matcher:
             kept = kept[strange[stop] - strange[kept] <= edits]
             if not len(kept):
                 continue
+            if repeats is None:
+                pairs.update((w, i) for w in kept.tolist() for i in table)
+                continue
             # Windows must not see the words of the next text.
             padded, places = self._padded(numbers, kept, ends[text_of[kept]], length)
             for repeat, (keys, which) in zip(repeats, table):
