@@ -105,6 +105,16 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def quoted(name: str) -> str:
+    """A column's name as Spark takes it whole, with dots and backticks."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns in one struct, so that none can clash with a helper column beside it."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns])
+
+
 def row_key(doc_id: str = "doc_id", text: str = "text", source: str | None = None) -> Column:
     """128-bit key of a row by its id and text (and source); a null id is none of the numbers."""
     parts = [F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))]

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import blank_split, map_arrow, row_key, whole_text
+from rillflow.llm.common import blank_split, map_arrow, row_key, whole_row, whole_text
 from rillflow.operators.joins import fits_broadcast, lookup
 from rillflow.session import pin, reducers
 
@@ -396,11 +396,12 @@ def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # equal rows are in one class, so a row key stays or goes as a whole
     losers = lookup(found, first, "root", row_id="row").where("row <> _first").select(F.col("row").alias("_row"))
     losers = pin(losers.distinct())
-    keyed = docs.withColumn("_row", row_key())
+    # the columns of docs may bear any name: they are carried in a struct
+    keyed = docs.select(whole_row(docs).alias("_doc"), row_key().alias("_row"))
     kept = keyed.join(F.broadcast(losers) if fits_broadcast(losers) else losers, "_row", "left_anti")
     twice = pin(found.groupBy(F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("_row"))
     if not twice.isEmpty():
         kept = kept.join(twice, "_row", "left_anti").unionByName(
             kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
         )
-    return kept.select(*docs.columns)
+    return kept.select("_doc.*")

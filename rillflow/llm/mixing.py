@@ -13,7 +13,9 @@ the rest of each document on to the next one, from long to short, in chunks of b
 source's words miss the target by about the length of a shortest document for each chunk.
 
 Null or empty text has size 0 and takes nothing (one copy of no words).  A null source is a source
-of its own.  Repeated rows are separate documents; columns of any name pass through.
+of its own.  Repeated rows are separate documents; columns of any name pass through.  Sizes that tie
+are rounded in the order of their ids; a very long text is one size like any other; an empty table
+gives an empty mix.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import map_pandas, row_key, whole_text, words_of
+from rillflow.llm.common import map_pandas, row_key, whole_row, whole_text, words_of
 from rillflow.operators.joins import lookup
 from rillflow.operators.keys import dense_numbers
 from rillflow.session import pin, reducers
@@ -34,7 +36,9 @@ from rillflow.session import pin, reducers
 WEIGHTS = (3, 1, 2)
 #: Documents of one rounding chunk, about.
 CHUNK_DOCS = 200_000
-STEPS = 80
+#: Steps within which each dual is solved, else the mix ends with an error.  Halving the bracket
+#: alone would take about 60.
+STEPS = 200
 
 
 def source_key(source: str) -> Column:
@@ -126,6 +130,8 @@ def solve(sizes: DataFrame, targets: DataFrame, cap: float = 2.0) -> DataFrame:
         )
         if not seen.get.get("open"):
             break
+    else:
+        raise RuntimeError(f"rates of a source miss its target after {STEPS} steps")
     # The order of a sum may change last digits: rates must not depend on it.
     return state.withColumn("slope", F.round("slope", 9)).drop("_low", "_high", "least")
 
@@ -174,7 +180,8 @@ def dealt(
         "rate",
         F.least(
             F.lit(float(cap)),
-            F.exp(F.least(F.col("slope") * F.col("size") * F.col("n_docs") / F.col("source_size"), F.lit(50.0))),
+            # a source of empty texts has no words and no slope to speak of
+            F.exp(F.least(F.coalesce(F.try_divide(F.col("slope") * F.col("size") * F.col("n_docs"), "source_size"), F.lit(0.0)), F.lit(50.0))),
         ),
     )
     lane = F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("n_docs") / CHUNK_DOCS).cast("long"))
@@ -202,7 +209,7 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2) ->
     Rows are told apart by id, text and source; equal rows that are taken differently often, by
     their place among each other.
     """
-    keyed = docs.withColumn("_row", row_key(source="source"))
+    keyed = docs.select(whole_row(docs).alias("_doc"), row_key(source="source").alias("_row"))
     name = row_key(source="source").alias("doc_id")
     taken = pin(
         dealt(docs, weights, share, cap, "text", "source", name, "string").select(F.col("doc_id").alias("_row"), "copies")
@@ -216,4 +223,4 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: int = 2) ->
         theirs = numbered(taken.join(uneven, "_row", "left_semi")).withColumnRenamed("copies", "_copies")
         known = known.unionByName(own.join(theirs, ["_row", "_n"]).drop("_row", "_n"))
     times = F.array_repeat(F.lit(1), F.col("_copies").cast("int"))
-    return known.withColumn("_copy", F.explode(times)).select(*docs.columns)
+    return known.select("_doc", F.explode(times)).select("_doc.*")
