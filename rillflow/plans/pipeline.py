@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.context import RunContext
-from rillflow.operators.joins import fits_broadcast, total_bytes, within_limit
+from rillflow.operators.joins import fits_broadcast, pairs_fit, total_bytes, within_limit
 from rillflow.operators.quality import (
     REASONS,
     classify,
@@ -61,11 +61,6 @@ def ingest(
     }
 
 
-def pairs_fit(rows: int) -> bool:
-    """Whether this many ids, each with one more number, may be broadcast."""
-    return within_limit(16 * rows)
-
-
 def ingest_source(
     lake: Lake, ctx: RunContext, source: str, raw: DataFrame, path: str, rows: Rows, refs: dict
 ) -> dict[str, int]:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from rillflow.context import RunContext
 from rillflow.operators.joins import fits_broadcast
 from rillflow.schemas import table
-from rillflow.session import remove
+from rillflow.session import pin, remove
 from rillflow.sources.lake import Lake
 
 BUCKETS, FAN = 64, 8
@@ -48,20 +48,25 @@ class IdStore:
             every.append((int(low), int(high), folder))
         return sorted(p for p in every if not any(q[0] <= p[0] and p[1] <= q[1] and q[:2] != p[:2] for q in every))
 
+    def ids_of(self, rows: DataFrame) -> DataFrame:
+        """The distinct ids of a batch with their buckets, written once: ``known`` and ``add`` both read them."""
+        if "bucket" in rows.columns:
+            return rows
+        ids = rows.select("log_id").where(F.col("log_id").isNotNull()).distinct()
+        return pin(ids.withColumn("bucket", bucket_of("log_id")))
+
     def add(self, ids: DataFrame, batch_id: int) -> None:
-        ids = ids.select("log_id").where(F.col("log_id").isNotNull()).distinct()
-        self._write(ids.withColumn("bucket", bucket_of("log_id")), batch_id, batch_id)
+        self._write(self.ids_of(ids), batch_id, batch_id)
 
     def known(self, ids: DataFrame, batch_id: int) -> DataFrame | None:
         """Which of ``ids`` (``log_id``) earlier batches had; None if there are no earlier ones."""
         earlier = [folder for low, high, folder in self.parts() if high < batch_id]
         if not earlier:
             return None
-        mine = ids.select("log_id").where(F.col("log_id").isNotNull()).distinct()
-        mine = mine.withColumn("bucket", bucket_of("log_id"))
-        buckets = [r[0] for r in mine.select("bucket").distinct().collect()]  # at most BUCKETS
+        ids = self.ids_of(ids)
+        buckets = [r[0] for r in ids.select("bucket").distinct().collect()]  # at most BUCKETS
         stored = self._read(earlier).where(F.col("bucket").isin(buckets))
-        wanted = F.broadcast(mine) if fits_broadcast(mine) else mine
+        wanted = F.broadcast(ids) if fits_broadcast(ids) else ids
         return stored.join(wanted, ["bucket", "log_id"], "left_semi").select("log_id").distinct()
 
     def merge(self, before: int) -> None:
