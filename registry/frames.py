@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rillflow.context import RunContext
 from rillflow.operators import quality, sessions
-from rillflow.operators.joins import fits_broadcast
+from rillflow.operators.joins import fits_broadcast, pairs_fit
 from rillflow.plans import gold, silver
 from rillflow.schemas import AGG, DIM_PRODUCT, DIM_USER, FACT
 from rillflow.session import pin, together
@@ -41,7 +41,7 @@ class Frames:
     def empty(self, schema) -> DataFrame:
         return self.spark.createDataFrame([], schema)
 
-    # clean tables are written once, as a run does, before the next layer reads them --------
+    # clean tables and dimensions are written once, as a run does, before the next layer reads them --------
     @cached_property
     def users_classified(self) -> DataFrame:
         return quality.classify(self.raw("users"), "users")
@@ -66,10 +66,16 @@ class Frames:
             "products_fit": fits_broadcast(self.products),
         }
 
+    @cached_property
+    def id_fits(self) -> dict[str, bool]:
+        """Of the ids with one more number, which is what most lookups need."""
+        self.ready("users", "products")
+        return {"users_fit": pairs_fit(self.users.count()), "products_fit": pairs_fit(self.products.count())}
+
     # logs ---------------------------------------------------------------------------------
     @cached_property
     def weblogs_classified(self) -> DataFrame:
-        fits = self.fits
+        fits = self.id_fits
         return quality.classify(
             self.raw("weblogs"), "weblogs", users=self.users, products=self.products, **fits
         )
@@ -95,15 +101,15 @@ class Frames:
     @cached_property
     def dim_user(self) -> DataFrame:
         source = silver.snapshot(self.users, "users_clean", RUN_1)
-        return gold.user_dimension(self.empty(DIM_USER), source, RUN_1).drop("_change")
+        return pin(gold.user_dimension(self.empty(DIM_USER), source, RUN_1).drop("_change"))
 
     @cached_property
     def dim_product(self) -> DataFrame:
         source = silver.snapshot(self.products, "products_clean", RUN_1)
-        return gold.product_dimension(self.empty(DIM_PRODUCT), source, RUN_1).drop("_change")
+        return pin(gold.product_dimension(self.empty(DIM_PRODUCT), source, RUN_1).drop("_change"))
 
     def fact_of(self, logs: DataFrame, loaded: DataFrame | None = None, how="inner") -> DataFrame:
-        return gold.fact_rows(logs, self.dim_user, self.dim_product, loaded, how=how, **self.fits)
+        return gold.fact_rows(logs, self.dim_user, self.dim_product, loaded, how=how, **self.id_fits)
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -113,7 +119,7 @@ class Frames:
 
     def agg_of(self, logs: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
         return sessions.gold_session_metrics(
-            logs, self.dim_user, loaded, users_fit=self.fits["users_fit"]
+            logs, self.dim_user, loaded, users_fit=self.id_fits["users_fit"]
         )
 
     @cached_property

@@ -151,10 +151,11 @@ def already_in(history: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``new`` that ``history`` has.
 
     The keys of the new rows are the small side: while they fit, the history is read in one column
-    and does not move.
+    and does not move.  Both sides are measured before they are joined, so the keys and the result
+    are written once: what is below them runs once, however deep its plan is.
     """
-    wanted = new.select(key).where(F.col(key).isNotNull()).distinct()
+    wanted = pin(new.select(key).where(F.col(key).isNotNull()).distinct())
     done = history.select(key)
     if fits_broadcast(wanted):
-        return done.join(F.broadcast(wanted), key, "left_semi").distinct()
-    return done.distinct().join(wanted, key, "left_semi")
+        return pin(done.join(F.broadcast(wanted), key, "left_semi").distinct())
+    return pin(done.distinct().join(wanted, key, "left_semi"))
