@@ -25,6 +25,7 @@ as the empty text for the split.  Without training texts all counts are 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -44,6 +45,8 @@ STATES = 4
 RISE = 1e-4
 BLOCK_TOKENS = 2_000_000
 SMOOTH = 0.5
+#: Forward values are scaled once in so many steps, and in each where they would become this small.
+EVERY, TINY = 8, 1e-20
 
 PACK = (
     "block string, lane int, doc_ids array<long>, lengths binary, train binary, tokens binary, "
@@ -52,27 +55,36 @@ PACK = (
 LANE = "lane int, block string, ids binary, place binary, counts binary, share binary, sums array<double>"
 
 
+_PRESS, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def squeeze(x: np.ndarray) -> bytes:
     planes = np.ascontiguousarray(x.astype("<i4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _PRESS.compress(planes)
 
 
 def stretch(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    planes = np.frombuffer(_OPEN.decompress(packed), np.uint8)
     return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<i4")
 
 
 def pack_share(share: np.ndarray) -> bytes:
     """How each word's count splits among the states, in 1/65535ths; the count itself goes apart."""
-    total = np.maximum(share.sum(1, keepdims=True), 1e-30)
-    planes = np.ascontiguousarray(np.rint(share / total * 65535).astype("<u2").T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.view(np.uint8).tobytes())
+    total = np.maximum(share @ np.ones(share.shape[1]), 1e-30)
+    planes = np.empty(share.shape[::-1], "<u2")
+    for plane, part in zip(planes, share.T):  # column by column, as rows are short
+        plane[:] = np.rint(part / total * 65535)
+    return _PRESS.compress(planes.view(np.uint8))
 
 
 def unpack_share(packed: bytes, counts: np.ndarray, states: int) -> np.ndarray:
-    raw = zstandard.ZstdDecompressor().decompress(packed)
-    parts = np.frombuffer(raw, "<u2").reshape(states, -1).T.astype(np.float64)
-    return parts / np.maximum(parts.sum(1, keepdims=True), 1) * counts[:, None]
+    raw = _OPEN.decompress(packed)
+    planes = np.frombuffer(raw, "<u2").reshape(states, -1)
+    total = np.maximum(planes.sum(0), 1)
+    share = np.empty((planes.shape[1], states))
+    for k, plane in enumerate(planes):
+        share[:, k] = plane / total * counts
+    return share
 
 
 def lanes_of(words: list[str], lanes: int) -> np.ndarray:
@@ -158,61 +170,95 @@ class Layout:
         self.starts = np.cumsum(lengths) - lengths
         step = np.arange(int(lengths.sum())) - np.repeat(self.starts, lengths)
         self.place = self.first[step] + np.repeat(rank, lengths)
+        self.ends = self.first[lengths[order] - 1] + np.arange(len(lengths))  # of the texts, longest first
+        self.every = EVERY
 
 
 def forward(layout: Layout, emit: np.ndarray, start: np.ndarray, move: np.ndarray):
-    """Scaled forward values and scales, in the layout's order; ``emit`` is in that order too."""
-    alpha, scale = emit.copy(), np.ones(len(emit))
-    before = None
-    for first, n in zip(layout.first.tolist(), layout.active.tolist()):
+    """Forward values and scales, in the layout's order; ``emit`` is in that order too.
+
+    The scales of a text multiply to its likelihood.  Scaling is linear and undone by ``backward``, so
+    it may wait some steps; where values would get too small by then, all steps are scaled.
+    """
+    alpha, scale = emit.copy(), np.ones(len(emit), emit.dtype)
+    room = np.empty((int(layout.active[0]) if len(layout.active) else 0, len(move)), emit.dtype)
+    move, before, ones = move.astype(emit.dtype), None, np.ones(len(move), emit.dtype)
+    for t, (first, n) in enumerate(zip(layout.first.tolist(), layout.active.tolist())):
         now = alpha[first : first + n]
-        now *= start if before is None else before[:n] @ move
-        total = now.sum(1)
-        now /= total[:, None]
-        scale[first : first + n] = total
+        now *= start if before is None else np.matmul(before[:n], move, out=room[:n])
+        if (t + 1) % layout.every == 0:
+            scale[first : first + n] = total = now @ ones
+            now /= total[:, None]
         before = now
+    total = alpha[layout.ends].sum(1)
+    if layout.every > 1 and not (scale.min(initial=1) > TINY and total.min(initial=1) > TINY):
+        layout.every = 1
+        return forward(layout, emit, start, move)
+    scale = scale.astype(np.float64)
+    scale[layout.ends] *= total
     return alpha, scale
 
 
 def backward(layout: Layout, emit, alpha, scale, move):
     """State probabilities of each token (over ``alpha``), and expected starts and moves."""
     k = len(move)
-    beta = np.ones((int(layout.active[0]) if len(layout.active) else 0, k), emit.dtype)
+    total = alpha[layout.ends].sum(1)
+    beta = np.repeat(1 / total[:, None], k, 1)
+    scale = scale.astype(emit.dtype)
+    scale[layout.ends] /= total
     moves = np.zeros((k, k))
     starts = np.zeros(k)
-    for t in range(len(layout.active) - 1, -1, -1):
-        first, n = int(layout.first[t]), int(layout.active[t])
-        now = slice(first, first + n)
+    back = np.ascontiguousarray(move.T.astype(emit.dtype))
+    steps = list(zip(layout.first.tolist(), layout.active.tolist()))
+    for t in range(len(steps) - 1, -1, -1):
+        first, n = steps[t]
+        now, after = alpha[first : first + n], beta[:n]
         if t:
-            ahead = emit[now] * beta[:n] / scale[now, None].astype(emit.dtype)
-            last = int(layout.first[t - 1])
+            ahead = emit[first : first + n] * after
+            if (t + 1) % layout.every == 0:
+                ahead /= scale[first : first + n, None]
+            last = steps[t - 1][0]
             moves += alpha[last : last + n].T @ ahead
-        alpha[now] *= beta[:n]
+        now *= after
         if t:
-            beta[:n] = ahead @ move.T
+            np.matmul(ahead, back, out=after)
         else:
-            starts = alpha[now].sum(0, dtype=np.float64)
+            starts = now.sum(0, dtype=np.float64)
     return starts, moves * move
 
 
 def emissions(share: np.ndarray, sums: np.ndarray, n_words: float) -> np.ndarray:
     """Smoothed word probabilities of each state."""
     a = SMOOTH / share.shape[1]
-    return ((share + a) / (sums + a * (n_words + 1))).astype(np.float32)
+    table = np.empty(share.shape, np.float32)
+    for k, total in enumerate(sums):
+        table[:, k] = (share[:, k] + a) / (total + a * (n_words + 1))
+    return table
+
+
+def leveled(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's probabilities over the largest of them, and the logarithm of that one."""
+    top = reduce(np.maximum, table.T)
+    low = np.empty_like(table)
+    for k, part in enumerate(table.T):
+        low[:, k] = part / top
+    return low, np.log(top.astype(np.float64))
 
 
 def expected(tokens, lengths, n_words, table, start, move):
-    """Expected counts by word and state, of starts, and of moves."""
+    """Expected counts by word and state, of starts, and of moves; the words' counts and the log-likelihood."""
     layout = Layout(lengths)
-    ordered = np.empty_like(tokens)
+    ordered = np.empty(len(tokens), np.int64)
     ordered[layout.place] = tokens
-    emit = table[ordered]
+    table, top = leveled(table)
+    emit = np.take(table, ordered, axis=0)
     alpha, scale = forward(layout, emit, start.astype(np.float32), move.astype(np.float32))
     starts, moves = backward(layout, emit, alpha, scale, move.astype(np.float32))
     share = np.stack(
         [np.bincount(ordered, alpha[:, k], n_words) for k in range(alpha.shape[1])], 1
     )
-    return share, starts, moves, scale
+    own = np.bincount(ordered, minlength=n_words)
+    return share, starts, moves, own, np.log(scale).sum() + own @ top
 
 
 def normal(x: np.ndarray) -> np.ndarray:
@@ -238,17 +284,19 @@ def first_gather(packs: DataFrame, states: int) -> DataFrame:
         place = flat.indices.to_numpy()
         counts = np.bincount(place, np.concatenate([stretch(c) for c in group["counts"]]), len(flat.dictionary))
         split = hashed_split(flat.dictionary.to_pylist(), states)
-        return returned(group["lane"].iloc[0], group, np.split(place, np.cumsum(sizes)[:-1]), counts, counts[:, None] * split)
+        places = np.split(place, np.cumsum(sizes)[:-1])
+        packed = [squeeze(p) for p in places]
+        return returned(group["lane"].iloc[0], group, places, packed, counts, counts[:, None] * split)
 
     words = packs.where("lane >= 0").select("lane", "block", "words", "ids", "counts")
     return words.groupBy("lane").applyInPandas(run, LANE)
 
 
-def returned(lane, blocks: pd.DataFrame, places: list, counts: np.ndarray, share: np.ndarray) -> pd.DataFrame:
+def returned(lane, blocks: pd.DataFrame, places: list, packed, counts: np.ndarray, share: np.ndarray) -> pd.DataFrame:
     """What each block gets of a lane, and one row without block: the lane's sums."""
     out = [
-        (lane, b, ids, squeeze(p), squeeze(counts[p]), pack_share(share[p]), None)
-        for b, ids, p in zip(blocks["block"], blocks["ids"], places)
+        (lane, b, ids, place, squeeze(counts[p]), pack_share(share[p]), None)
+        for b, ids, place, p in zip(blocks["block"], blocks["ids"], packed, places)
     ]
     sums = [float((counts > 0).sum()), float(counts.sum()), *share.sum(0).tolist()]
     out.append((lane, None, None, None, None, None, sums))
@@ -266,7 +314,7 @@ def gather(found: DataFrame, states: int) -> DataFrame:
             own = stretch(c)
             counts[p] += own  # a block's words are distinct
             share[p] += unpack_share(s, own, states)
-        return returned(group["lane"].iloc[0], group, places, counts, share)
+        return returned(group["lane"].iloc[0], group, places, group["place"], counts, share)
 
     return found.where("lane >= 0").drop("sums").groupBy("lane").applyInPandas(run, LANE)
 
@@ -280,14 +328,14 @@ def totals(lanes: DataFrame, states: int) -> np.ndarray:
 # one block with its words' counts -----------------------------------------------------------
 def opened(pack: pd.DataFrame, words: pd.DataFrame, sums: np.ndarray, states: int):
     row = pack.iloc[0]
-    n = sum(len(stretch(i)) for i in words["ids"])
+    places = [stretch(i) for i in words["ids"]]
+    n = sum(map(len, places))
     counts, share = np.zeros(n, np.int64), np.zeros((n, states), np.float32)
-    for ids, c, s in zip(words["ids"], words["counts"], words["share"]):
-        at = stretch(ids)
+    for at, c, s in zip(places, words["counts"], words["share"]):
         counts[at] = own = stretch(c)
         share[at] = unpack_share(s, own, states)
     train = np.frombuffer(row["train"], bool)
-    return row, stretch(row["tokens"]), stretch(row["lengths"]).astype(np.int64), train, counts, emissions(share, sums[2:], sums[0])
+    return row, places, stretch(row["tokens"]), stretch(row["lengths"]).astype(np.int64), train, counts, emissions(share, sums[2:], sums[0])
 
 
 def with_words(packs: DataFrame, lanes: DataFrame):
@@ -297,17 +345,15 @@ def with_words(packs: DataFrame, lanes: DataFrame):
 
 def expect(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) -> DataFrame:
     def run(pack: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        _, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
+        _, places, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
         mine = np.repeat(train, lengths)
-        share, starts, moves, scale = expected(tokens[mine], lengths[train], len(counts), table, start, move)
-        own = np.bincount(tokens[mine], minlength=len(counts))
+        share, starts, moves, own, log_p = expected(tokens[mine], lengths[train], len(counts), table, start, move)
         out = []
-        for lane, block, ids, place in zip(
-            words["lane"], words["block"], words["ids"], words["place"]
+        for lane, block, ids, place, at in zip(
+            words["lane"], words["block"], words["ids"], words["place"], places
         ):
-            at = stretch(ids)
             out.append((lane, block, ids, place, squeeze(own[at]), pack_share(share[at]), None))
-        out.append((-1, None, None, None, None, None, [*starts, *moves.ravel(), np.log(scale).sum()]))
+        out.append((-1, None, None, None, None, None, [*starts, *moves.ravel(), log_p]))
         return pd.DataFrame(out, columns=[f.split(" ")[0] for f in LANE.split(", ")])
 
     return with_words(packs, lanes).applyInPandas(run, LANE)
@@ -323,11 +369,13 @@ def score(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) ->
     n_words, n_train = sums[0], sums[1]
 
     def run(pack: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        row, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
+        row, _, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
         layout = Layout(lengths)
         ordered = np.empty_like(tokens)
         ordered[layout.place] = tokens
-        _, scale = forward(layout, table[ordered], start.astype(np.float32), move.astype(np.float32))
+        table, top = leveled(table)
+        emit = np.take(table, ordered, axis=0)
+        _, scale = forward(layout, emit, start.astype(np.float32), move.astype(np.float32))
         per_word = np.log10((counts + 0.5) / (n_train + 0.5 * (n_words + 1)))
         sum_up = lambda x: np.add.reduceat(x, layout.starts)
         return pd.DataFrame(
@@ -338,7 +386,7 @@ def score(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) ->
                 "n_known": sum_up((counts[tokens] > 0).astype(np.int64)),
                 "train_tokens": np.full(len(lengths), int(n_train)),
                 "base_score": sum_up(per_word[tokens]),
-                "score": sum_up(np.log10(scale)[layout.place]),
+                "score": sum_up(np.log10(scale)[layout.place] + top[tokens] / np.log(10)),
             }
         )
 
