@@ -16,6 +16,7 @@ A very long text is encoded alone and is one block of its own, however many toke
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -36,9 +37,9 @@ from rillflow.session import fresh_folder, pin, reducers
 BLOCK_TOKENS = 1 << 18
 SHARD_TOKENS = 1 << 25
 #: Pieces that a worker remembers; beyond that it starts anew.  Bounds memory, not results.
-KNOWN_PIECES = 1_000_000
-#: Bytes of text that are encoded together, about.
-SLICE_BYTES = 1 << 23
+KNOWN_PIECES = 500_000
+#: Bytes of text that are encoded together, about.  A worker holds some 20 times as much meanwhile.
+SLICE_BYTES = 1 << 22
 
 _loaded: dict = {}
 
@@ -171,15 +172,23 @@ class Encoder:
             missing = found.filter(pc.is_null(at))
             fresh = self.learn(pc.unique(missing))
             which[which < 0] = before + pc.index_in(missing, value_set=fresh).to_numpy(zero_copy_only=False)
+            del missing, fresh
+        del found, at  # as large as the texts, and several times
         own = self.sizes[which]
         ends = np.cumsum(own)
         starts = np.cumsum(self.sizes) - self.sizes
-        flat = self.table[np.repeat(starts[which] - (ends - own), own) + np.arange(int(own.sum()))]
+        place = np.repeat(starts[which] - (ends - own), own)
+        del which, own, starts
+        place += np.arange(len(place))
+        flat = self.table[place]
+        del place
         of_text = np.concatenate([[0], ends])[np.cumsum(counts)] if len(counts) else np.zeros(0, np.int64)
         return flat, np.diff(of_text, prepend=0)
 
 
 def encoder(model: str) -> Encoder:
+    """The worker's encoder.  A task has one core; threads of its own would each keep memory besides."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     key = hash(model)
     if key not in _loaded:
         _loaded.clear()

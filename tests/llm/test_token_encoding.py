@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import random
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -65,3 +67,36 @@ def test_ranks_come_from_the_counts_of_the_tasks(spark):
     n = Counter(i for t in texts for i in [*whole.encode(t or "", add_special_tokens=False).ids, 2])
     assert got == [i for i, _ in sorted(n.items(), key=lambda x: (-x[1], x[0]))]
     assert tokens.where("counts IS NULL").count() == len(texts)
+
+
+MEASURED = """
+import re, sys, threading, time
+import numpy as np, pyarrow as pa, public_tokenizers
+from rillflow.llm import token_files as t
+from rillflow.llm.common import text_slices
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read()).group(1)) / 1024
+
+def watch():
+    while True:
+        most.append(held())
+        time.sleep(0.02)
+
+some = np.random.default_rng(5)
+words = np.array(["".join(map(chr, some.integers(97, 123, 6))) for _ in range(200_000)])
+texts = pa.array([" ".join(words[some.integers(0, len(words), 450)]) for _ in range(10_000)], pa.string())
+batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), texts], names=["doc_id", "text"])
+own = t.encoder(open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8").read())
+press, end, most = t.zstandard.ZstdCompressor(level=1), np.array([2], np.uint32), [held()]
+threading.Thread(target=watch, daemon=True).start()
+for part in text_slices(batch, t.SLICE_BYTES):
+    t.encoded(own, part, end, press)
+print(max(most) - most[0])
+"""
+
+
+def test_a_worker_encodes_a_full_batch_in_bounded_memory():
+    """Two workers share an executor with a heap of 1,800 MB of 3,000 MB."""
+    done = subprocess.run([sys.executable, "-c", MEASURED], capture_output=True, text=True, timeout=300, check=True)
+    assert float(done.stdout) < 170  # 264 with larger slices and threads of the tokenizer
