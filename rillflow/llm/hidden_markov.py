@@ -25,7 +25,7 @@ as the empty text for the split.  Without training texts all counts are 0.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,16 +43,18 @@ from rillflow.session import pin, reducers, unpin
 STATES = 4
 #: Training ends after two steps in a row that raise the log-likelihood by no more than this share.
 RISE = 1e-4
-BLOCK_TOKENS = 2_000_000
+BLOCK_TOKENS = 4_000_000
+#: Texts with more tokens are cut into pieces that lie side by side (exactly, see ``Pieces``).
+CUT = 1024
 SMOOTH = 0.5
 #: Forward values are scaled once in so many steps, and in each where they would become this small.
 EVERY, TINY = 8, 1e-20
 
 PACK = (
-    "block string, lane int, doc_ids array<long>, lengths binary, train binary, tokens binary, "
-    "words string, ids binary, counts binary"
+    "block string, lane int, doc_ids array<long>, lengths binary, train binary, tokens binary, held binary, "
+    "ids binary, words string, counts binary"
 )
-LANE = "lane int, block string, ids binary, place binary, counts binary, share binary, sums array<double>"
+LANE = "lane int, block string, place binary, counts binary, share binary, sums array<double>"
 
 
 _PRESS, _OPEN = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
@@ -64,31 +66,34 @@ def squeeze(x: np.ndarray) -> bytes:
 
 
 def stretch(packed: bytes) -> np.ndarray:
-    planes = np.frombuffer(_OPEN.decompress(packed), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view("<i4")
+    planes = np.frombuffer(_OPEN.decompress(packed), np.uint8).reshape(4, -1)
+    out = np.empty((planes.shape[1], 4), np.uint8)
+    for k, plane in enumerate(planes):
+        out[:, k] = plane
+    return out.reshape(-1).view("<i4")
 
 
 def pack_share(share: np.ndarray) -> bytes:
     """How each word's count splits among the states, in 1/65535ths; the count itself goes apart."""
-    total = np.maximum(share @ np.ones(share.shape[1]), 1e-30)
+    factor = 65535 / np.maximum(share @ np.ones(share.shape[1]), 1e-30)
     planes = np.empty(share.shape[::-1], "<u2")
     for plane, part in zip(planes, share.T):  # column by column, as rows are short
-        plane[:] = np.rint(part / total * 65535)
+        plane[:] = np.rint(part * factor)
     return _PRESS.compress(planes.view(np.uint8))
 
 
 def unpack_share(packed: bytes, counts: np.ndarray, states: int) -> np.ndarray:
     raw = _OPEN.decompress(packed)
     planes = np.frombuffer(raw, "<u2").reshape(states, -1)
-    total = np.maximum(planes.sum(0), 1)
+    factor = counts / np.maximum(planes.sum(0, dtype=np.int32), 1)
     share = np.empty((planes.shape[1], states))
     for k, plane in enumerate(planes):
-        share[:, k] = plane / total * counts
+        np.multiply(plane, factor, out=share[:, k])
     return share
 
 
-def lanes_of(words: list[str], lanes: int) -> np.ndarray:
-    return np.array([xxhash.xxh32_intdigest(w) for w in words], np.int64) % lanes
+def hashed(words: list[str]) -> np.ndarray:
+    return np.array([xxhash.xxh32_intdigest(w) for w in words], np.int64)
 
 
 class Block:
@@ -109,6 +114,13 @@ class Block:
         self.train.append(batch["train"].to_numpy(zero_copy_only=False))
         self.tokens += len(words) + len(sizes)
 
+    def take(self, more: Block) -> None:
+        self.words += more.words
+        self.sizes += more.sizes
+        self.ids += more.ids
+        self.train += more.train
+        self.tokens += more.tokens
+
     def coded(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]:
         """Tokens of all texts with their ends, lengths, training flags, vocabulary."""
         coded = pa.concat_arrays(self.words).dictionary_encode()
@@ -128,28 +140,38 @@ def encode(rows: DataFrame, lanes: int) -> DataFrame:
         names = [f.split(" ")[0] for f in PACK.split(", ")]
 
         def flush(block: Block) -> pa.RecordBatch:
+            nonlocal number
             tokens, lengths, train, vocabulary = block.coded()
-            counts = np.bincount(tokens[np.repeat(train, lengths)], minlength=len(vocabulary))
-            lane = lanes_of(vocabulary, lanes)
-            name = f"{task}-{number}"
-            out = [(name, -1, block.ids, squeeze(lengths), train.tobytes(), squeeze(tokens), None, None, None)]
-            order = np.argsort(lane, kind="stable")
-            for part in np.split(order, np.flatnonzero(np.diff(lane[order])) + 1):
+            mine = np.repeat(train, lengths)
+            counts = np.bincount(tokens[mine], minlength=len(vocabulary))
+            word_hash = hashed(vocabulary)
+            order = np.lexsort((word_hash, word_hash % lanes))  # by lane, and in a lane as ``first_gather`` numbers them
+            lane = word_hash[order] % lanes
+            name, number = f"{task}-{number}", number + 1
+            fitted, held = (squeeze(Pieces(lengths[of]).laid(tokens[at])) for of, at in ((train, mine), (~train, ~mine)))
+            out = [(name, -1, block.ids, squeeze(lengths), train.tobytes(), fitted, held, squeeze(order), None, None)]
+            for part in np.split(order, np.flatnonzero(np.diff(lane)) + 1):
                 words = "\n".join([vocabulary[i] for i in part])
-                out.append((name, int(lane[part[0]]), None, None, None, None, words,
-                            squeeze(part), squeeze(counts[part])))
-            types = [pa.string(), pa.int32(), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.string(), *[pa.binary()] * 2]
+                out.append((name, int(word_hash[part[0]] % lanes), *[None] * 6, words, squeeze(counts[part])))
+            types = [
+                pa.string(), pa.int32(), pa.list_(pa.int64()), *[pa.binary()] * 5, pa.string(), pa.binary()
+            ]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out), types)], names=names
             )
 
-        block = Block()
+        full, block = None, Block()
         for batch in batches:
             for at in range(0, len(batch), 500):
                 block.add(batch.slice(at, 500))
+                if full and block.tokens >= BLOCK_TOKENS // 4:
+                    yield flush(full)
+                    full = None
                 if block.tokens >= BLOCK_TOKENS:
-                    yield flush(block)
-                    block, number = Block(), number + 1
+                    full, block = block, Block()
+        if full:  # a small rest goes with the block before it
+            full.take(block)
+            block = full
         if block.ids:
             yield flush(block)
 
@@ -161,31 +183,73 @@ class Layout:
     """Texts side by side, longest first: step t holds the t-th token of the first ``active[t]``."""
 
     def __init__(self, lengths: np.ndarray):
-        order = np.argsort(-lengths, kind="stable")
-        rank = np.empty(len(lengths), np.int64)
-        rank[order] = np.arange(len(lengths))
+        self.lengths, self.every = lengths, EVERY
+        self.order = np.argsort(-lengths, kind="stable")
         top = int(lengths.max(initial=0))
         self.active = len(lengths) - np.cumsum(np.bincount(lengths, minlength=top + 1))[:top]
         self.first = np.cumsum(self.active) - self.active
-        self.starts = np.cumsum(lengths) - lengths
-        step = np.arange(int(lengths.sum())) - np.repeat(self.starts, lengths)
-        self.place = self.first[step] + np.repeat(rank, lengths)
-        self.ends = self.first[lengths[order] - 1] + np.arange(len(lengths))  # of the texts, longest first
-        self.every = EVERY
+        self.ends = self.first[lengths[self.order] - 1] + np.arange(len(lengths))  # of the texts, longest first
+
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.lengths) - self.lengths
 
+    @cached_property
+    def place(self) -> np.ndarray:
+        rank = np.empty(len(self.lengths), np.int64)
+        rank[self.order] = np.arange(len(rank))
+        step = np.arange(int(self.lengths.sum())) - np.repeat(self.starts, self.lengths)
+        return self.first[step] + np.repeat(rank, self.lengths)
 
-def forward(layout: Layout, emit: np.ndarray, start: np.ndarray, move: np.ndarray):
-    """Forward values and scales, in the layout's order; ``emit`` is in that order too.
 
-    The scales of a text multiply to its likelihood.  Scaling is linear and undone by ``backward``, so
-    it may wait some steps; where values would get too small by then, all steps are scaled.
+class Pieces:
+    """Long texts cut into pieces of ``CUT`` tokens, so that few steps serve many texts.
+
+    The first pieces of all texts lie in one layout, ``heads``, the further ones in another, ``tails``,
+    behind it.  ``chained`` hands over exactly what a piece needs of its neighbours.
     """
-    alpha, scale = emit.copy(), np.ones(len(emit), emit.dtype)
+
+    def __init__(self, lengths: np.ndarray):
+        parts = -(-lengths // CUT)
+        owner = np.repeat(np.arange(len(lengths)), parts)
+        level = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        sizes = np.minimum(lengths[owner] - level * CUT, CUT)
+        self.first = np.repeat(level == 0, sizes)  # whether a token is in its text's first piece
+        self.heads, self.tails = Layout(sizes[level == 0]), Layout(sizes[level > 0])
+        self.n_heads = int(self.heads.lengths.sum())
+        self.owner, level = owner[level > 0], level[level > 0]
+        by_level = np.argsort(level, kind="stable")
+        self.levels = np.split(by_level, np.flatnonzero(np.diff(level[by_level])) + 1) if len(level) else []
+
+    def laid(self, values: np.ndarray) -> np.ndarray:
+        """Values of all tokens, text by text, in the order of the two layouts."""
+        out = np.empty_like(values)
+        out[: self.n_heads][self.heads.place] = values[self.first]
+        out[self.n_heads :][self.tails.place] = values[~self.first]
+        return out
+
+    def by_text(self, laid: np.ndarray) -> np.ndarray:
+        out = np.empty_like(laid)
+        out[self.first] = laid[: self.n_heads][self.heads.place]
+        out[~self.first] = laid[self.n_heads :][self.tails.place]
+        return out
+
+
+def forward(layout: Layout, emit: np.ndarray, start: np.ndarray, move: np.ndarray, alpha: np.ndarray | None = None):
+    """Forward values (in ``alpha``) and scales, in the layout's order; ``emit`` is in that order too.
+
+    ``start`` is one row for all texts or one for each, longest first.  The scales of a text multiply to
+    its likelihood.  Scaling is linear and undone by ``backward``, so it may wait some steps; where values
+    would get too small by then, all steps are scaled.
+    """
+    alpha = np.empty_like(emit) if alpha is None else alpha
+    alpha[:] = emit
+    scale = np.ones(len(emit), emit.dtype)
     room = np.empty((int(layout.active[0]) if len(layout.active) else 0, len(move)), emit.dtype)
-    move, before, ones = move.astype(emit.dtype), None, np.ones(len(move), emit.dtype)
+    step, before, ones = move.astype(emit.dtype), None, np.ones(len(move), emit.dtype)
     for t, (first, n) in enumerate(zip(layout.first.tolist(), layout.active.tolist())):
         now = alpha[first : first + n]
-        now *= start if before is None else np.matmul(before[:n], move, out=room[:n])
+        now *= start if before is None else np.dot(before[:n], step, out=room[:n])
         if (t + 1) % layout.every == 0:
             scale[first : first + n] = total = now @ ones
             now /= total[:, None]
@@ -193,40 +257,106 @@ def forward(layout: Layout, emit: np.ndarray, start: np.ndarray, move: np.ndarra
     total = alpha[layout.ends].sum(1)
     if layout.every > 1 and not (scale.min(initial=1) > TINY and total.min(initial=1) > TINY):
         layout.every = 1
-        return forward(layout, emit, start, move)
-    scale = scale.astype(np.float64)
+        return forward(layout, emit, start, move, alpha)
     scale[layout.ends] *= total
     return alpha, scale
 
 
-def backward(layout: Layout, emit, alpha, scale, move):
-    """State probabilities of each token (over ``alpha``), and expected starts and moves."""
+def backward(layout: Layout, emit, alpha, scale, move, enter=None, leave=None):
+    """State probabilities of each token (over ``alpha``), and expected starts and moves.
+
+    Of pieces, ``enter`` has the state probabilities before the first token and ``leave`` the backward
+    values after the last one, up to a factor, both longest first.
+    """
     k = len(move)
-    total = alpha[layout.ends].sum(1)
-    beta = np.repeat(1 / total[:, None], k, 1)
+    last = alpha[layout.ends]
+    total = last.sum(1)
+    if leave is None:
+        beta = np.repeat(1 / total[:, None], k, 1)
+    else:
+        beta = (leave / (last * leave).sum(1)[:, None]).astype(emit.dtype)
     scale = scale.astype(emit.dtype)
     scale[layout.ends] /= total
     moves = np.zeros((k, k))
     starts = np.zeros(k)
     back = np.ascontiguousarray(move.T.astype(emit.dtype))
+    room = np.empty_like(beta)
     steps = list(zip(layout.first.tolist(), layout.active.tolist()))
     for t in range(len(steps) - 1, -1, -1):
         first, n = steps[t]
         now, after = alpha[first : first + n], beta[:n]
-        if t:
-            ahead = emit[first : first + n] * after
+        if t or enter is not None:
+            ahead = np.multiply(emit[first : first + n], after, out=room[:n])
             if (t + 1) % layout.every == 0:
                 ahead /= scale[first : first + n, None]
-            last = steps[t - 1][0]
-            moves += alpha[last : last + n].T @ ahead
+            at = steps[t - 1][0]
+            moves += np.dot((alpha[at : at + n] if t else enter).T, ahead)
         now *= after
         if t:
-            np.matmul(ahead, back, out=after)
-        else:
+            np.dot(ahead, back, out=after)
+        elif enter is None:
             starts = now.sum(0, dtype=np.float64)
     return starts, moves * move
 
 
+def through(layout: Layout, emit: np.ndarray, move: np.ndarray) -> np.ndarray:
+    """Each piece as one matrix, up to a factor, longest first: from the state before it to its last one."""
+    k, n = len(move), int(layout.active[0]) if len(layout.active) else 0
+    step, ones, least = move.astype(emit.dtype), np.ones(k, emit.dtype), 1.0
+    out = step[:, None, :] * emit[:n]  # by the state before the piece, piece, last state
+    room = np.empty_like(out)
+    for t, (first, n) in enumerate(zip(layout.first.tolist(), layout.active.tolist())):
+        now = out[:, :n]
+        if t:
+            np.matmul(now, step, out=room[:, :n])
+            np.multiply(room[:, :n], emit[first : first + n], out=now)
+        if (t + 1) % layout.every == 0:
+            total = (now @ ones).sum(0)
+            least = min(least, total.min())
+            now /= total[:, None]
+    if layout.every > 1 and not (least > TINY and out.sum((0, 2)).min(initial=1) > TINY):
+        layout.every = 1
+        return through(layout, emit, move)
+    return np.moveaxis(out, 0, 1)
+
+
+def chained(pieces: Pieces, ends: np.ndarray, matrices: np.ndarray):
+    """What the tails are entered with, and what comes after the heads and the tails.
+
+    ``ends`` are the heads' last forward values.  All are in the order of the layouts.
+    """
+    heads, tails = pieces.heads, pieces.tails
+    k = ends.shape[1]
+    unit = lambda x: x / x.sum(1, keepdims=True)
+    whole, last = np.empty((len(tails.order), k, k)), np.empty(ends.shape)
+    whole[tails.order], last[heads.order] = matrices, ends
+    enter, after, after_heads = np.empty((len(whole), k)), np.ones((len(whole), k)), np.ones(ends.shape)
+    for number, i in enumerate(pieces.levels):
+        got = np.einsum("nj,njk->nk", enter[i - 1], whole[i - 1]) if number else last[pieces.owner[i]]
+        enter[i] = unit(got)
+    for number, i in reversed(list(enumerate(pieces.levels))):
+        got = unit(np.einsum("njk,nk->nj", whole[i], after[i]))
+        if number:
+            after[i - 1] = got
+        else:
+            after_heads[pieces.owner[i]] = got
+    return enter[tails.order], after_heads[heads.order], after[tails.order]
+
+
+def scaled(pieces: Pieces, emit: np.ndarray, start: np.ndarray, move: np.ndarray):
+    """Forward values and scales of whole texts, and what ``backward`` needs of each layout."""
+    n, alpha = pieces.n_heads, np.empty_like(emit)
+    _, scale = forward(pieces.heads, emit[:n], start, move, alpha[:n])
+    parts = [(pieces.heads, slice(0, n), scale, None, None)]
+    if pieces.levels:
+        whole = through(pieces.tails, emit[n:], move)
+        enter, after_heads, after = chained(pieces, alpha[:n][pieces.heads.ends], whole)
+        enter = enter.astype(emit.dtype)
+        _, scale = forward(pieces.tails, emit[n:], (enter @ move).astype(emit.dtype), move, alpha[n:])
+        parts = [(*parts[0][:4], after_heads), (pieces.tails, slice(n, None), scale, enter, after)]
+    return alpha, parts
+
+
 def emissions(share: np.ndarray, sums: np.ndarray, n_words: float) -> np.ndarray:
     """Smoothed word probabilities of each state."""
     a = SMOOTH / share.shape[1]
@@ -245,20 +375,27 @@ def leveled(table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return low, np.log(top.astype(np.float64))
 
 
-def expected(tokens, lengths, n_words, table, start, move):
-    """Expected counts by word and state, of starts, and of moves; the words' counts and the log-likelihood."""
-    layout = Layout(lengths)
-    ordered = np.empty(len(tokens), np.int64)
-    ordered[layout.place] = tokens
+def expected(tokens, lengths, n_words, table, start, move, laid: bool = False):
+    """Expected counts by word and state, of starts, and of moves; the words' counts and the log-likelihood.
+
+    ``laid`` says that the tokens are in the order of ``Pieces`` already.
+    """
+    pieces = Pieces(lengths)
+    tokens = (tokens if laid else pieces.laid(tokens)).astype(np.int64)
     table, top = leveled(table)
-    emit = np.take(table, ordered, axis=0)
-    alpha, scale = forward(layout, emit, start.astype(np.float32), move.astype(np.float32))
-    starts, moves = backward(layout, emit, alpha, scale, move.astype(np.float32))
-    share = np.stack(
-        [np.bincount(ordered, alpha[:, k], n_words) for k in range(alpha.shape[1])], 1
-    )
-    own = np.bincount(ordered, minlength=n_words)
-    return share, starts, moves, own, np.log(scale).sum() + own @ top
+    start, move = start.astype(np.float32), move.astype(np.float32)
+    emit = np.take(table, tokens, axis=0)
+    alpha, parts = scaled(pieces, emit, start, move)
+    starts, moves, log_p = np.zeros(len(start)), np.zeros(move.shape), 0.0
+    for layout, at, scale, enter, leave in parts:
+        more_starts, more_moves = backward(layout, emit[at], alpha[at], scale, move, enter, leave)
+        starts, moves = starts + more_starts, moves + more_moves
+        log_p += np.log(scale[scale != 1].astype(np.float64)).sum()
+    share = np.empty((n_words, len(start)))
+    for k in range(len(start)):
+        share[:, k] = np.bincount(tokens, alpha[:, k], n_words)
+    own = np.bincount(tokens, minlength=n_words)
+    return share, starts, moves, own, log_p + own @ top
 
 
 def normal(x: np.ndarray) -> np.ndarray:
@@ -281,25 +418,30 @@ def first_gather(packs: DataFrame, states: int) -> DataFrame:
         parts = [w.split("\n") for w in group["words"]]
         sizes = [len(p) for p in parts]
         flat = pa.array([w for p in parts for w in p], pa.string()).dictionary_encode()
-        place = flat.indices.to_numpy()
-        counts = np.bincount(place, np.concatenate([stretch(c) for c in group["counts"]]), len(flat.dictionary))
-        split = hashed_split(flat.dictionary.to_pylist(), states)
+        words = flat.dictionary.to_pylist()
+        order = np.argsort(hashed(words), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        place = rank[flat.indices.to_numpy()]  # rises with the hash, so numbers in a block differ by little
+        counts = np.bincount(place, np.concatenate([stretch(c) for c in group["counts"]]), len(words))
+        split = hashed_split([words[i] for i in order], states)
         places = np.split(place, np.cumsum(sizes)[:-1])
-        packed = [squeeze(p) for p in places]
-        return returned(group["lane"].iloc[0], group, places, packed, counts, counts[:, None] * split)
+        packed = [squeeze(np.diff(p, prepend=0)) for p in places]
+        stats = np.zeros(states + states**2 + 1)
+        return returned(group["lane"].iloc[0], group["block"], places, packed, counts, counts[:, None] * split, stats)
 
-    words = packs.where("lane >= 0").select("lane", "block", "words", "ids", "counts")
+    words = packs.where("lane >= 0").select("lane", "block", "words", "counts")
     return words.groupBy("lane").applyInPandas(run, LANE)
 
 
-def returned(lane, blocks: pd.DataFrame, places: list, packed, counts: np.ndarray, share: np.ndarray) -> pd.DataFrame:
+def returned(lane, blocks, places: list, packed, counts: np.ndarray, share: np.ndarray, stats) -> pd.DataFrame:
     """What each block gets of a lane, and one row without block: the lane's sums."""
     out = [
-        (lane, b, ids, place, squeeze(counts[p]), pack_share(share[p]), None)
-        for b, ids, place, p in zip(blocks["block"], blocks["ids"], packed, places)
+        (lane, b, place, squeeze(counts[p]), pack_share(share[p]), None)
+        for b, place, p in zip(blocks, packed, places)
     ]
-    sums = [float((counts > 0).sum()), float(counts.sum()), *share.sum(0).tolist()]
-    out.append((lane, None, None, None, None, None, sums))
+    sums = [float((counts > 0).sum()), float(counts.sum()), *share.sum(0).tolist(), *stats]
+    out.append((lane, None, None, None, None, sums))
     return pd.DataFrame(out, columns=[f.split(" ")[0] for f in LANE.split(", ")])
 
 
@@ -307,56 +449,61 @@ def gather(found: DataFrame, states: int) -> DataFrame:
     """One lane after a Baum-Welch step: expected counts summed up over the blocks."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        places = [stretch(p) for p in group["place"]]
+        places = [np.cumsum(stretch(p)) for p in group["place"]]
         n = max(int(p.max(initial=-1)) for p in places) + 1
         counts, share = np.zeros(n), np.zeros((n, states))
         for p, c, s in zip(places, group["counts"], group["share"]):
             own = stretch(c)
             counts[p] += own  # a block's words are distinct
             share[p] += unpack_share(s, own, states)
-        return returned(group["lane"].iloc[0], group, places, group["place"], counts, share)
+        stats = sum((np.array(x, float) for x in group["sums"] if x is not None), np.zeros(states + states**2 + 1))
+        return returned(group["lane"].iloc[0], group["block"], places, group["place"], counts, share, stats)
 
-    return found.where("lane >= 0").drop("sums").groupBy("lane").applyInPandas(run, LANE)
+    return found.groupBy("lane").applyInPandas(run, LANE)
 
 
-def totals(lanes: DataFrame, states: int) -> np.ndarray:
-    """Distinct training words, training tokens, and each state's tokens: a row of a few sums."""
-    row = lanes.where("block is null").agg(*[F.sum(F.col("sums")[i]) for i in range(2 + states)]).first()
-    return np.array([x or 0.0 for x in row])
+def totals(lanes: DataFrame, states: int) -> np.ndarray | None:
+    """Distinct training words, training tokens, each state's tokens; starts, moves and the log-likelihood
+    of the step that led there: a row of a few sums, none without texts."""
+    width = 2 + states + states + states**2 + 1
+    row = lanes.where("block is null").agg(*[F.sum(F.col("sums")[i]) for i in range(width)]).first()
+    return None if row[0] is None else np.array(row)
 
 
 # one block with its words' counts -----------------------------------------------------------
 def opened(pack: pd.DataFrame, words: pd.DataFrame, sums: np.ndarray, states: int):
-    row = pack.iloc[0]
-    places = [stretch(i) for i in words["ids"]]
-    n = sum(map(len, places))
-    counts, share = np.zeros(n, np.int64), np.zeros((n, states), np.float32)
-    for at, c, s in zip(places, words["counts"], words["share"]):
-        counts[at] = own = stretch(c)
-        share[at] = unpack_share(s, own, states)
+    """A block's row, its words' rows by lane, their order, lengths, training flags, counts, probabilities."""
+    row, words = pack.iloc[0], words.sort_values("lane")
+    order = stretch(row["ids"])
+    ours, counts, share = [stretch(c) for c in words["counts"]], np.empty(len(order), np.int64), np.empty((len(order), states))
+    counts[order] = np.concatenate(ours)
+    share[order] = np.concatenate([unpack_share(s, own, states) for s, own in zip(words["share"], ours)])
     train = np.frombuffer(row["train"], bool)
-    return row, places, stretch(row["tokens"]), stretch(row["lengths"]).astype(np.int64), train, counts, emissions(share, sums[2:], sums[0])
+    table = emissions(share, sums[2 : 2 + states], sums[0])
+    return row, words, order, stretch(row["lengths"]).astype(np.int64), train, counts, table
 
 
-def with_words(packs: DataFrame, lanes: DataFrame):
-    docs = packs.where("lane = -1").select("block", "doc_ids", "lengths", "train", "tokens")
+def with_words(docs: DataFrame, lanes: DataFrame):
     return docs.groupBy("block").cogroup(lanes.where("block is not null").drop("sums").groupBy("block"))
 
 
-def expect(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) -> DataFrame:
+def expect(docs: DataFrame, lanes: DataFrame, sums, start, move, states: int) -> DataFrame:
+    """The words' expected counts of each block by lane; one of a block's rows has its other sums."""
+
     def run(pack: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        _, places, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
-        mine = np.repeat(train, lengths)
-        share, starts, moves, own, log_p = expected(tokens[mine], lengths[train], len(counts), table, start, move)
-        out = []
-        for lane, block, ids, place, at in zip(
-            words["lane"], words["block"], words["ids"], words["place"], places
-        ):
-            out.append((lane, block, ids, place, squeeze(own[at]), pack_share(share[at]), None))
-        out.append((-1, None, None, None, None, None, [*starts, *moves.ravel(), log_p]))
+        row, words, order, lengths, train, counts, table = opened(pack, words, sums, states)
+        share, starts, moves, own, log_p = expected(
+            stretch(row["tokens"]), lengths[train], len(counts), table, start, move, laid=True
+        )
+        share, own, at = share[order], own[order], 0
+        stats, out = [*starts, *moves.ravel(), log_p], []
+        for lane, block, place, c in zip(words["lane"], words["block"], words["place"], words["counts"]):
+            end = at + len(stretch(c))
+            out.append((lane, block, place, squeeze(own[at:end]), pack_share(share[at:end]), stats))
+            at, stats = end, None
         return pd.DataFrame(out, columns=[f.split(" ")[0] for f in LANE.split(", ")])
 
-    return with_words(packs, lanes).applyInPandas(run, LANE)
+    return with_words(docs, lanes).applyInPandas(run, LANE)
 
 
 SCORED = (
@@ -369,28 +516,36 @@ def score(packs: DataFrame, lanes: DataFrame, sums, start, move, states: int) ->
     n_words, n_train = sums[0], sums[1]
 
     def run(pack: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        row, _, tokens, lengths, train, counts, table = opened(pack, words, sums, states)
-        layout = Layout(lengths)
-        ordered = np.empty_like(tokens)
-        ordered[layout.place] = tokens
-        table, top = leveled(table)
-        emit = np.take(table, ordered, axis=0)
-        _, scale = forward(layout, emit, start.astype(np.float32), move.astype(np.float32))
+        row, _, _, lengths, train, counts, table = opened(pack, words, sums, states)
+        low, top = leveled(table)
         per_word = np.log10((counts + 0.5) / (n_train + 0.5 * (n_words + 1)))
-        sum_up = lambda x: np.add.reduceat(x, layout.starts)
-        return pd.DataFrame(
-            {
-                "doc_id": pd.array([None if pd.isna(i) else int(i) for i in row["doc_ids"]], "Int64"),
-                "held_out": ~train,
-                "n_tokens": lengths,
-                "n_known": sum_up((counts[tokens] > 0).astype(np.int64)),
-                "train_tokens": np.full(len(lengths), int(n_train)),
-                "base_score": sum_up(per_word[tokens]),
-                "score": sum_up(np.log10(scale)[layout.place] + top[tokens] / np.log(10)),
-            }
-        )
+        ids = pd.array([None if pd.isna(i) else int(i) for i in row["doc_ids"]], "Int64")
+        out = []
+        for of, column in ((train, "tokens"), (~train, "held")):
+            if not of.any():
+                continue
+            pieces, laid = Pieces(lengths[of]), stretch(row[column])
+            _, parts = scaled(pieces, np.take(low, laid, axis=0), start.astype(np.float32), move.astype(np.float32))
+            log_p = np.log10(np.concatenate([part[2] for part in parts]).astype(np.float64)) + top[laid] / np.log(10)
+            starts = np.cumsum(lengths[of]) - lengths[of]
+            sum_up = lambda x: np.add.reduceat(pieces.by_text(x), starts)  # noqa: B023, E731
+            out.append(
+                pd.DataFrame(
+                    {
+                        "doc_id": ids[of],
+                        "held_out": ~train[of],
+                        "n_tokens": lengths[of],
+                        "n_known": sum_up((counts[laid] > 0).astype(np.int64)),
+                        "train_tokens": np.full(len(starts), int(n_train)),
+                        "base_score": sum_up(per_word[laid]),
+                        "score": sum_up(log_p),
+                    }
+                )
+            )
+        return pd.concat(out)
 
-    return with_words(packs, lanes).applyInPandas(run, SCORED)
+    docs = packs.where("lane = -1").drop("lane", "words", "counts")
+    return with_words(docs, lanes).applyInPandas(run, SCORED)
 
 
 def fit_and_score(
@@ -405,25 +560,27 @@ def fit_and_score(
     )
     packs = pin(encode(rows, reducers(docs.sparkSession)))
     table, start, move, _ = trained(packs, states, rise)
-    return score(packs, table, totals(table, states), start, move, states)
+    sums = totals(table, states)
+    return score(packs, table, np.zeros(2 + states) if sums is None else sums, start, move, states)
 
 
 def trained(packs: DataFrame, states: int, rise: float):
     """The words' table, starts and moves, and the training log-likelihood before each step."""
     start, move = np.full(states, 1 / states), normal(np.eye(states) * 20 + 1)
     table = pin(first_gather(packs, states))
+    # all steps read the training texts, so they are dealt once
+    docs = packs.where("lane = -1").select("block", "lengths", "train", "tokens", "ids")
+    docs = docs.repartition(reducers(packs.sparkSession), "block").sortWithinPartitions("block")
+    docs = docs.persist(StorageLevel.DISK_ONLY)
     seen: list[float] = []
-    flat = 0
-    while flat < 2:
-        found = pin(expect(packs, table, totals(table, states), start, move, states))
-        at = found.where("lane = -1").select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col"))
-        got = dict(map(tuple, at.collect()))  # a few numbers: starts, moves and the log-likelihood
-        if not got:
-            break
-        values = np.array([got[i] for i in range(states + states**2 + 1)])
+    flat, sums = 0, totals(table, states)
+    while flat < 2 and sums is not None:
+        before, table = table, pin(gather(expect(docs, table, sums, start, move, states), states))
+        unpin(before)
+        sums = totals(table, states)
+        values = sums[2 + states :]  # a few numbers: starts, moves and the log-likelihood
         start, move = normal(values[:states]), normal(values[states:-1].reshape(states, states))
-        before, table = table, pin(gather(found, states))
-        unpin(before, found)
         flat = flat + 1 if seen and values[-1] - seen[-1] <= rise * abs(seen[-1]) else 0
         seen.append(float(values[-1]))
+    docs.unpersist()
     return table, start, move, seen
