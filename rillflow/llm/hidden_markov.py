@@ -391,9 +391,7 @@ def expected(tokens, lengths, n_words, table, start, move, laid: bool = False):
         more_starts, more_moves = backward(layout, emit[at], alpha[at], scale, move, enter, leave)
         starts, moves = starts + more_starts, moves + more_moves
         log_p += np.log(scale[scale != 1].astype(np.float64)).sum()
-    share = np.empty((n_words, len(start)))
-    for k in range(len(start)):
-        share[:, k] = np.bincount(tokens, alpha[:, k], n_words)
+    share = np.stack([np.bincount(tokens, part, n_words) for part in alpha.T]).T
     own = np.bincount(tokens, minlength=n_words)
     return share, starts, moves, own, log_p + own @ top
 
@@ -475,9 +473,11 @@ def opened(pack: pd.DataFrame, words: pd.DataFrame, sums: np.ndarray, states: in
     """A block's row, its words' rows by lane, their order, lengths, training flags, counts, probabilities."""
     row, words = pack.iloc[0], words.sort_values("lane")
     order = stretch(row["ids"])
-    ours, counts, share = [stretch(c) for c in words["counts"]], np.empty(len(order), np.int64), np.empty((len(order), states))
+    ours, counts = [stretch(c) for c in words["counts"]], np.empty(len(order), np.int64)
+    share = np.empty((len(order), states), np.float32)
     counts[order] = np.concatenate(ours)
-    share[order] = np.concatenate([unpack_share(s, own, states) for s, own in zip(words["share"], ours)])
+    found = [unpack_share(s, own, states) for s, own in zip(words["share"], ours)]
+    share[order] = np.concatenate(found, dtype=np.float32)
     train = np.frombuffer(row["train"], bool)
     table = emissions(share, sums[2 : 2 + states], sums[0])
     return row, words, order, stretch(row["lengths"]).astype(np.int64), train, counts, table
@@ -495,7 +495,7 @@ def expect(docs: DataFrame, lanes: DataFrame, sums, start, move, states: int) ->
         share, starts, moves, own, log_p = expected(
             stretch(row["tokens"]), lengths[train], len(counts), table, start, move, laid=True
         )
-        share, own, at = share[order], own[order], 0
+        share, own, at = np.take(share.T, order, axis=1).T, own[order], 0  # by state, as its memory is
         stats, out = [*starts, *moves.ravel(), log_p], []
         for lane, block, place, c in zip(words["lane"], words["block"], words["place"], words["counts"]):
             end = at + len(stretch(c))
